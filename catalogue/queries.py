@@ -280,10 +280,7 @@ def stream_bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ingest.stream_files(
         spark, sf_dir, schema, "parquet", pathGlobFilter="lineitem.parquet"
     )
-    bronze = sales_lines(lines, _table(spark, sf_dir, "orders")).select([
-        F.col(f.name).cast(f.dataType).alias(f.name)
-        for f in BRONZE_SCHEMAS["crm_sales_details"].fields
-    ])
+    bronze = sales_lines(lines, _table(spark, sf_dir, "orders"))
     out = new_path(spark, "stream")
     ingest.ingest_stream(bronze, silver_sales, f"{out}/rows", f"{out}/state").awaitTermination()
     return spark.read.parquet(f"{out}/rows")

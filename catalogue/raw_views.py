@@ -5,8 +5,7 @@ Whole tables are read; the CASE rules only decide which rows are made dirty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.schemas import BRONZE_SCHEMAS
 
@@ -15,78 +14,65 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _copies(is_twice) -> Column:
+def _padded(key: str, width: int) -> str:
+    """Leading zeros up to the width, longer keys whole."""
+    return f"lpad(string({key}), greatest({width}, length(string({key}))), '0')"
+
+
+def _copies(name: str, twice: str) -> str:
     """0, and for some rows 0 and 1: one scan gives both copies."""
-    return F.explode(F.when(is_twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return f"explode(CASE WHEN {twice} THEN array(0, 1) ELSE array(0) END) AS {name}"
 
 
 def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    df = _read(spark, sf_dir, "customer").select("*", _copies(k % 50 == 3).alias("copy"))
-    return df.select(
-        F.when(k % 211 == 7, None).otherwise(k).alias("cst_id"),
-        F.format_string("AW%08d", k).alias("cst_key"),
-        F.when(k % 97 == 5, None)
-        .otherwise(F.concat(F.lit("  "), "c_name", F.lit(" "))).alias("cst_firstname"),
-        F.col("c_mktsegment").alias("cst_lastname"),
-        F.when(k % 4 == 0, "s").when(k % 4 == 1, "M ").when(k % 4 == 2, " ")
-        .alias("cst_marital_status"),
-        F.when(k % 5 == 0, "M").when(k % 5 == 1, " f").when(k % 5 == 2, "").when(k % 5 == 3, "F")
-        .alias("cst_gndr"),
-        F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int"))
-        .alias("cst_create_date"),
+    df = _read(spark, sf_dir, "customer").selectExpr("*", _copies("copy", "c_custkey % 50 = 3"))
+    return df.selectExpr(
+        "CASE WHEN c_custkey % 211 <> 7 THEN c_custkey END AS cst_id",
+        f"'AW' || {_padded('c_custkey', 8)} AS cst_key",
+        "CASE WHEN c_custkey % 97 <> 5 THEN '  ' || c_name || ' ' END AS cst_firstname",
+        "c_mktsegment AS cst_lastname",
+        "decode(c_custkey % 4, 0, 's', 1, 'M ', 2, ' ') AS cst_marital_status",
+        "decode(c_custkey % 5, 0, 'M', 1, ' f', 2, '', 3, 'F') AS cst_gndr",
+        "date_add(DATE '2020-01-01', int(c_custkey % 365)) AS cst_create_date",
     )
 
 
 def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, v, cut = F.col("p_partkey"), F.col("v"), (F.col("p_partkey") % 100).cast("int")
-    df = _read(spark, sf_dir, "part").select("*", _copies(k % 3 == 0).alias("v"))
-    return df.select(
-        (k * 2 + v).alias("prd_id"),
-        F.concat(
-            F.substring("p_type", 1, 2), F.lit("-B"), (F.col("p_size") % 5).cast("string"),
-            F.format_string("-P%06d", k),
-        ).alias("prd_key"),
-        F.concat("p_name", F.lit(" ")).alias("prd_nm"),
-        F.when(k % 40 == 0, None).otherwise(F.floor("p_retailprice").cast("int"))
-        .alias("prd_cost"),
-        F.when(k % 5 == 0, "R ").when(k % 5 == 1, "m").when(k % 5 == 2, "S")
-        .when(k % 5 == 3, "T").otherwise("").alias("prd_line"),
-        F.date_add(F.lit("2010-01-01").cast("date"), v * 365 + cut).alias("prd_start_dt"),
-        F.when((v == 0) & (k % 3 == 0), F.date_add(F.lit("2009-06-01").cast("date"), cut))
-        .alias("prd_end_dt"),
+    df = _read(spark, sf_dir, "part").selectExpr("*", _copies("v", "p_partkey % 3 = 0"))
+    return df.selectExpr(
+        "p_partkey * 2 + v AS prd_id",
+        "substring(p_type, 1, 2) || '-B' || string(p_size % 5) || '-P' || "
+        f"{_padded('p_partkey', 6)} AS prd_key",
+        "p_name || ' ' AS prd_nm",
+        "CASE WHEN p_partkey % 40 <> 0 THEN int(floor(p_retailprice)) END AS prd_cost",
+        "decode(p_partkey % 5, 0, 'R ', 1, 'm', 2, 'S', 3, 'T', '') AS prd_line",
+        "date_add(DATE '2010-01-01', v * 365 + int(p_partkey % 100)) AS prd_start_dt",
+        "CASE WHEN v = 0 AND p_partkey % 3 = 0 "
+        "THEN date_add(DATE '2009-06-01', int(p_partkey % 100)) END AS prd_end_dt",
     )
 
 
-def _day_code(ts: Column) -> Column:
-    return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
-
-
 def sales_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Works on a stream of line items as well."""
-    o, ordered = F.col("l_orderkey"), F.col("o_orderdate")
-    amount = F.floor("l_extendedprice").cast("int")
-    df = lineitem.join(
-        orders.select("o_orderkey", "o_custkey", "o_orderdate"), o == F.col("o_orderkey")
-    )
-    return df.select(
-        F.concat(F.lit("SO"), o.cast("string")).alias("sls_ord_num"),
-        F.concat(
-            F.when(F.col("l_partkey") % 500 == 1, "PX").otherwise("P"),
-            F.format_string("%06d", "l_partkey"),
-        ).alias("sls_prd_key"),
-        F.when(F.col("o_custkey") % 400 == 9, -1).otherwise(F.col("o_custkey"))
-        .alias("sls_cust_id"),
-        F.when(o % 101 == 0, 0).when(o % 103 == 0, 32154).when(o % 307 == 0, 20101332)
-        .otherwise(_day_code(ordered)).alias("sls_order_dt"),
-        _day_code(F.col("l_shipdate")).alias("sls_ship_dt"),
-        (F.year(ordered) * 10000 + F.month(ordered) * 100 + 28).alias("sls_due_dt"),
-        F.when(F.col("l_suppkey") % 89 == 3, None).when(o % 113 == 5, -amount).otherwise(amount)
-        .alias("sls_sales"),
-        F.when(o % 97 == 4, 0).otherwise(F.col("l_quantity").cast("int")).alias("sls_quantity"),
-        F.when(o % 11 == 0, None).when(o % 13 == 0, -5)
-        .otherwise(F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int"))
-        .alias("sls_price"),
+    ordered = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    df = lineitem.join(ordered, lineitem["l_orderkey"] == ordered["o_orderkey"])
+    return df.selectExpr(
+        "'SO' || string(l_orderkey) AS sls_ord_num",
+        "CASE WHEN l_partkey % 500 = 1 THEN 'PX' ELSE 'P' END || "
+        f"{_padded('l_partkey', 6)} AS sls_prd_key",
+        "CASE WHEN o_custkey % 400 = 9 THEN -1 ELSE o_custkey END AS sls_cust_id",
+        "CASE WHEN l_orderkey % 101 = 0 THEN 0 WHEN l_orderkey % 103 = 0 THEN 32154 "
+        "WHEN l_orderkey % 307 = 0 THEN 20101332 ELSE "
+        "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) END "
+        "AS sls_order_dt",
+        "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS sls_ship_dt",
+        "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 28 AS sls_due_dt",
+        "CASE WHEN l_suppkey % 89 = 3 THEN NULL "
+        "WHEN l_orderkey % 113 = 5 THEN -int(floor(l_extendedprice)) "
+        "ELSE int(floor(l_extendedprice)) END AS sls_sales",
+        "CASE WHEN l_orderkey % 97 = 4 THEN 0 ELSE int(l_quantity) END AS sls_quantity",
+        "CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN -5 "
+        "ELSE int(floor(l_extendedprice / l_quantity)) END AS sls_price",
     )
 
 
@@ -95,44 +81,34 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return _read(spark, sf_dir, "customer").select(
-        F.concat(F.when(k % 2 == 0, "NAS").otherwise(""), F.format_string("AW%08d", k))
-        .alias("CID"),
-        F.when(k % 77 == 0, F.lit("2999-01-01").cast("date"))
-        .otherwise(F.date_add(F.lit("1950-01-01").cast("date"), (k * 10 % 18000).cast("int")))
-        .alias("BDATE"),
-        F.when(k % 6 == 0, "F").when(k % 6 == 1, "Female").when(k % 6 == 2, " M")
-        .when(k % 6 == 3, "male ").when(k % 6 == 4, "").alias("GEN"),
+    return _read(spark, sf_dir, "customer").selectExpr(
+        f"CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || "
+        f"{_padded('c_custkey', 8)} AS CID",
+        "CASE WHEN c_custkey % 77 = 0 THEN DATE '2999-01-01' "
+        "ELSE date_add(DATE '1950-01-01', int(c_custkey * 10 % 18000)) END AS BDATE",
+        "decode(c_custkey % 6, 0, 'F', 1, 'Female', 2, ' M', 3, 'male ', 4, '') AS GEN",
     )
 
 
 def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    df = _read(spark, sf_dir, "customer").join(
-        _read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    return df.select(
-        F.format_string("AW-%08d", k).alias("CID"),
-        F.when(k % 7 == 0, "DE").when(k % 7 == 1, "USA").when(k % 7 == 2, "US ")
-        .when(k % 7 == 3, " ").when(k % 7 == 4, None).otherwise(F.col("n_name")).alias("CNTRY"),
+    customer, nation = _read(spark, sf_dir, "customer"), _read(spark, sf_dir, "nation")
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+        f"'AW-' || {_padded('c_custkey', 8)} AS CID",
+        "CASE c_custkey % 7 WHEN 0 THEN 'DE' WHEN 1 THEN 'USA' WHEN 2 THEN 'US ' "
+        "WHEN 3 THEN ' ' WHEN 4 THEN NULL ELSE n_name END AS CNTRY",
     )
 
 
 def erp_px_cat_g1v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind, size = F.substring("p_type", 1, 2), F.col("p_size") % 5
-    return (
-        _read(spark, sf_dir, "part")
-        .where(~((kind == "EC") & (size == 4)))
-        .select(
-            F.concat(kind, F.lit("_B"), size.cast("string")).alias("ID"),
-            F.concat(F.lit(" "), "p_type").alias("CAT"),
-            F.concat(F.lit("Class "), size.cast("string")).alias("SUBCAT"),
-            F.when(size == 0, "Yes").when(size == 1, "No ").when(size == 2, "yes")
-            .when(size == 3, "").otherwise("NO").alias("MAINTENANCE"),
-        )
-        .distinct()
+    df = _read(spark, sf_dir, "part").where(
+        "NOT (substring(p_type, 1, 2) = 'EC' AND p_size % 5 = 4)"
     )
+    return df.selectExpr(
+        "substring(p_type, 1, 2) || '_B' || string(p_size % 5) AS ID",
+        "' ' || p_type AS CAT",
+        "'Class ' || string(p_size % 5) AS SUBCAT",
+        "decode(p_size % 5, 0, 'Yes', 1, 'No ', 2, 'yes', 3, '', 'NO') AS MAINTENANCE",
+    ).distinct()
 
 
 RAW_VIEWS = {
@@ -148,6 +124,7 @@ RAW_VIEWS = {
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw view in the column types of its bronze table."""
     view = RAW_VIEWS[name](spark, sf_dir)
-    return view.select([
-        F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMAS[name].fields
+    return view.selectExpr(*[
+        f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in BRONZE_SCHEMAS[name].fields
     ])

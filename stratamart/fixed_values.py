@@ -31,8 +31,7 @@ YES_NO = {"YES": True, "NO": False}
 ERP_CUSTOMER_PREFIX = "NAS"
 CATEGORY_ID_LENGTH = 5
 PRODUCT_NUMBER_START = 7
-DATE_CODE_PATTERN = "yyyyMMdd"
-DATE_CODE_LENGTH = 8
+DATE_CODE_RANGE = (10000000, 99999999)  # yyyyMMdd: eight digits
 
 # --- fixed values: silver column names ---------------------------------------
 RENAME_CUSTOMERS = {

@@ -88,11 +88,17 @@ def default_zero(col: Column) -> Column:
 
 
 def date_code(col: Column) -> Column:
-    """Integer or text ``yyyyMMdd`` → date; 0, other lengths and impossible dates → NULL."""
-    text = col.cast("string")
-    return F.when(
-        F.length(text) == V.DATE_CODE_LENGTH, F.try_to_date(text, V.DATE_CODE_PATTERN)
+    """Integer ``yyyyMMdd`` → date; 0, other than 8 digits and impossible dates → NULL.
+
+    Splits the number instead of parsing text: several times faster per row. Text
+    columns are read as numbers first.
+    """
+    code = col.try_cast("int")
+    day = F.try_make_timestamp_ntz(
+        F.floor(code / 10000).cast("int"), F.floor(code / 100).cast("int") % 100, code % 100,
+        F.lit(0), F.lit(0), F.lit(0),
     )
+    return F.when(code.between(*V.DATE_CODE_RANGE), day.cast("date"))
 
 
 def as_date(col: Column) -> Column:

@@ -482,11 +482,23 @@ def business_rules_check(fact: DataFrame) -> DataFrame:
 
 
 def orphan_counts(fact: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    return one_row(
-        missing_keys(fact, "product_key", products, "product_key")
-        .agg(F.count("*").alias("orphaned_products")),
-        missing_keys(fact, "customer_key", customers, "customer_key")
-        .agg(F.count("*").alias("orphaned_customers")),
+    """Distinct non-NULL fact keys no dimension row has; one pass for both keys.
+
+    Keys are made distinct before the join, so a hot key enters it as one row.
+    """
+    def keyed(side: str, key: str) -> Column:
+        return F.struct(F.lit(side).alias("side"), F.col(key).cast("long").alias("key"))
+
+    used = fact.select(
+        F.inline(F.array(keyed("product", "product_key"), keyed("customer", "customer_key")))
+    ).where(F.col("key").isNotNull()).distinct()
+    known = products.select(keyed("product", "product_key").alias("k")).unionByName(
+        customers.select(keyed("customer", "customer_key").alias("k"))
+    ).select("k.*")
+    orphans = used.join(known, ["side", "key"], "left_anti")
+    return orphans.agg(
+        F.count_if(F.col("side") == "product").alias("orphaned_products"),
+        F.count_if(F.col("side") == "customer").alias("orphaned_customers"),
     )
 
 

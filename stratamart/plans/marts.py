@@ -135,13 +135,20 @@ def customer_segments(fact: DataFrame, customers: DataFrame, **key_options: int)
 def kpi_trend(fact: DataFrame) -> DataFrame:
     """Monthly revenue, orders, customers and average order, with growth on the month before.
 
-    The window runs over one row per month, whatever the size of the fact.
+    Lines are summed per order before distinct orders and customers are counted. The
+    window runs over one row per month, whatever the size of the fact.
     """
-    monthly = (
+    per_order = (
         fact.where(F.col("order_date").isNotNull())
-        .groupBy(F.trunc("order_date", "month").alias("month"))
+        .groupBy(
+            F.trunc("order_date", "month").alias("month"), "order_number", "customer_key"
+        )
+        .agg(F.sum("sales_amount").alias("revenue"))
+    )
+    monthly = (
+        per_order.groupBy("month")
         .agg(
-            F.sum("sales_amount").alias("revenue"),
+            F.sum("revenue").alias("revenue"),
             F.count_distinct("order_number").alias("orders"),
             F.count_distinct("customer_key").alias("customers"),
         )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions.cleaning import prefer
-from stratamart.operators.joins import left_lookup
+from stratamart.operators.joins import hot_keys_for, left_lookup
 from stratamart.operators.keys import newest_key, number_rows
 
 CUSTOMER_COLUMNS = [
@@ -33,9 +33,11 @@ def customer_rows(crm: DataFrame, demographics: DataFrame, location: DataFrame)
         "customer_key", "customer_id", "firstname", "lastname", "marital_status", "gender",
         F.col("created_date").alias("create_date"),
     )
+    found = hot_keys_for(base, ("customer_key", demo), ("customer_key", place))
+    hot = found.get("customer_key")
     joined = left_lookup(
-        left_lookup(base, demo, "customer_key", "customer_number"),
-        place, "customer_key", "customer_number",
+        left_lookup(base, demo, "customer_key", "customer_number", hot=hot),
+        place, "customer_key", "customer_number", hot=hot,
     )
     return joined.withColumn(
         "gender", prefer(F.col("gender"), F.col("_erp_gender"))
@@ -61,7 +63,8 @@ def product_rows(
     cats = categories.select(
         F.col("category_id").alias("_cat"), "category", "subcategory", "maintenance_flag"
     )
-    return left_lookup(base, cats, "category_id", "_cat").select(*PRODUCT_COLUMNS)
+    hot = hot_keys_for(base, ("category_id", cats)).get("category_id")
+    return left_lookup(base, cats, "category_id", "_cat", hot=hot).select(*PRODUCT_COLUMNS)
 
 
 def dim_products(
@@ -81,15 +84,18 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
         "order_number", "product_number", "customer_id", "order_date", "ship_date",
         "due_date", "sales_amount", "quantity", "price",
     )
+    product_keys = newest_key(products, "product_number", "product_key")
+    customer_keys = newest_key(customers, "customer_id", "customer_key")
+    hot = hot_keys_for(
+        kept, ("product_number", product_keys), ("customer_id", customer_keys)
+    )
     with_product = left_lookup(
-        kept, newest_key(products, "product_number", "product_key")
-        .withColumnRenamed("product_number", "_number"),
-        "product_number", "_number",
+        kept, product_keys.withColumnRenamed("product_number", "_number"),
+        "product_number", "_number", hot=hot.get("product_number"),
     )
     with_customer = left_lookup(
-        with_product, newest_key(customers, "customer_id", "customer_key")
-        .withColumnRenamed("customer_id", "_id"),
-        "customer_id", "_id",
+        with_product, customer_keys.withColumnRenamed("customer_id", "_id"),
+        "customer_id", "_id", hot=hot.get("customer_id"),
     )
     return with_customer.select(
         "order_number", "product_key", "customer_key", "order_date", "ship_date", "due_date",

@@ -57,24 +57,35 @@ def _as_bytes(text: str) -> int:
 
 def find_hot_keys(
     df: DataFrame,
-    key: str,
-    *,
+    *keys: str,
     hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
     rows_per_salt: int = ROWS_PER_SALT,
-) -> HotKeys:
-    """Hot keys of one column, from a bounded sketch: one pass, one row back."""
-    found = df.select(F.col(key).alias("k")).agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("k").isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(k, {CANDIDATES}, {TRACKED_ITEMS})").alias("top"),
-    ).first()
-    floor = max(hot_rows, hot_share * found["n"])
-    hot = [(t["item"], t["count"]) for t in found["top"] or []
-           if t["item"] is not None and t["count"] >= floor]
-    nulls = found["nulls"] >= floor and found["nulls"] > 0
-    largest = max([c for _, c in hot] + ([found["nulls"]] if nulls else []), default=0)
-    return HotKeys([v for v, _ in hot], nulls, max(2, -(-largest // rows_per_salt)))
+) -> dict[str, HotKeys]:
+    """Hot values of some columns, from bounded sketches: one pass, one row back."""
+    sketches = [
+        F.struct(
+            F.count_if(F.col(k).isNull()).alias("nulls"),
+            F.expr(f"approx_top_k(`{k}`, {CANDIDATES}, {TRACKED_ITEMS})").alias("top"),
+        ).alias(k)
+        for k in keys
+    ]
+    row = df.select(*keys).agg(F.count("*").alias("_rows"), *sketches).first()
+    floor = max(hot_rows, hot_share * row["_rows"], 1)
+    found = {}
+    for k in keys:
+        counts = {t["item"]: t["count"] for t in row[k]["top"] or [] if t["item"] is not None}
+        hot = {v: n for v, n in counts.items() if n >= floor}
+        nulls = row[k]["nulls"] >= floor
+        largest = max([*hot.values(), row[k]["nulls"] if nulls else 0])
+        found[k] = HotKeys(list(hot), nulls, max(2, -(-largest // rows_per_salt)))
+    return found
+
+
+def hot_keys_for(left: DataFrame, *lookups: tuple[str, DataFrame]) -> dict[str, HotKeys]:
+    """Hot keys of ``left`` for the lookups whose right side Spark will not broadcast."""
+    shuffled = dict.fromkeys(k for k, right in lookups if not spark_will_broadcast(right))
+    return find_hot_keys(left, *shuffled) if shuffled else {}
 
 
 def _row_salt(df: DataFrame, salts: int) -> Column:
@@ -94,15 +105,12 @@ def left_lookup(
 ) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key``, without the right key.
 
-    A right side within Spark's own broadcast limit is left to Spark. Otherwise
-    hot keys of the left side are looked up, their left rows spread over salts
-    and the matching right rows repeated once per salt. NULL keys match nothing
+    Left rows of the ``hot`` keys are spread over salts and the matching right rows
+    repeated once per salt; all other keys join as they are. NULL keys match nothing
     and are spread too.
     """
     right = right.withColumnRenamed(right_key, "_lookup_key")
     match = F.col(left_key) == F.col("_lookup_key")
-    if hot is None and not spark_will_broadcast(right):
-        hot = find_hot_keys(left, left_key)
     if not hot:
         return left.join(right, match, "left").drop("_lookup_key")
     listed = F.col(left_key).isin(hot.values) if hot.values else F.lit(False)

@@ -11,6 +11,7 @@ from stratamart.operators.silver import SILVER_BUILDERS, silver_demographics
 from stratamart.schemas import LOG_SCHEMA
 from stratamart.sources.csv_files import read_source
 from stratamart.sources.tables import create_schemas, read_table, save_table
+from stratamart.staging import release
 
 
 class Pipeline:
@@ -135,6 +136,7 @@ class Pipeline:
         self.build_silver()
         self.check_silver()
         self.build_dimensions()
+        release(self.spark)
         self.check_dimensions()
         self.build_fact()
         self.check_fact()

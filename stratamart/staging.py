@@ -31,9 +31,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[0].name
 
 
+def staged_root(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_folder(spark)}/stratamart/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/stratamart/{label}-{uuid.uuid4().hex}"
+    return f"{staged_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged, once its results are saved elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -21,11 +22,14 @@ from stratamart.streaming import ingest, upsert
 
 CRM = ("crm_cust_info", "crm_prd_info", "crm_sales_details")
 ERP = ("erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2")
-AS_OF = "2026-01-01"
+AS_OF = dt.date(2026, 1, 1)
 
 
 class Model:
-    """The layers over one folder of test tables, built where they are asked for."""
+    """The layers over one folder of test tables, planned where they are asked for.
+
+    Plans are kept for the one query that made the model; no rows are cached.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
@@ -37,16 +41,18 @@ class Model:
         return self._made[name]
 
     def bronze(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.sf_dir, name)
+        return self._once(f"bronze {name}", lambda: raw_table(self.read, name))
+
+    def read(self, name: str) -> DataFrame:
+        return self._once(f"file {name}", lambda: _table(self.spark, self.sf_dir, name))
 
     def bronzes(self, names) -> dict[str, DataFrame]:
         return {n: self.bronze(n) for n in names}
 
     def silver(self, name: str) -> DataFrame:
         build = SILVER_BUILDERS[name]
-        if build is silver_demographics:
-            return build(self.bronze(name), F.lit(AS_OF).cast("date"))
-        return build(self.bronze(name))
+        options = {"as_of": AS_OF} if build is silver_demographics else {}
+        return self._once(f"silver {name}", lambda: build(self.bronze(name), **options))
 
     def silvers(self, names=tuple(RAW_VIEWS)) -> dict[str, DataFrame]:
         return {V.SILVER_TABLES[n]: self.silver(n) for n in names}
@@ -77,7 +83,8 @@ class Model:
 
     @property
     def fact(self) -> DataFrame:
-        return gold.fact_sales(self.sales, self.dim_products, self.dim_customers)
+        return self._once("fact", lambda: gold.fact_sales(
+            self.sales, self.dim_products, self.dim_customers))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -197,7 +204,7 @@ def quality_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     scored = scoring.fact_score_by_month(m.sales, m.fact)
     log = quality_log.log_row(
-        scored, V.TASK_GOLD_FACT, "GOLD", run_timestamp=F.col("month").cast("timestamp")
+        scored, V.TASK_GOLD_FACT, "GOLD", run_timestamp="month"
     )
     return quality_log.quality_trend(log).withColumn(
         "run_date", F.col("run_timestamp").cast("date")

@@ -5,13 +5,14 @@ Whole tables are read; the CASE rules only decide which rows are made dirty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 
 from stratamart.schemas import BRONZE_SCHEMAS
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+Read = Callable[[str], DataFrame]
 
 
 def _padded(key: str, width: int) -> str:
@@ -24,8 +25,8 @@ def _copies(name: str, twice: str) -> str:
     return f"explode(CASE WHEN {twice} THEN array(0, 1) ELSE array(0) END) AS {name}"
 
 
-def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _read(spark, sf_dir, "customer").selectExpr("*", _copies("copy", "c_custkey % 50 = 3"))
+def crm_cust_info(read: Read) -> DataFrame:
+    df = read("customer").selectExpr("*", _copies("copy", "c_custkey % 50 = 3"))
     return df.selectExpr(
         "CASE WHEN c_custkey % 211 <> 7 THEN c_custkey END AS cst_id",
         f"'AW' || {_padded('c_custkey', 8)} AS cst_key",
@@ -37,8 +38,8 @@ def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _read(spark, sf_dir, "part").selectExpr("*", _copies("v", "p_partkey % 3 = 0"))
+def crm_prd_info(read: Read) -> DataFrame:
+    df = read("part").selectExpr("*", _copies("v", "p_partkey % 3 = 0"))
     return df.selectExpr(
         "p_partkey * 2 + v AS prd_id",
         "substring(p_type, 1, 2) || '-B' || string(p_size % 5) || '-P' || "
@@ -76,12 +77,12 @@ def sales_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_lines(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders"))
+def crm_sales_details(read: Read) -> DataFrame:
+    return sales_lines(read("lineitem"), read("orders"))
 
 
-def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "customer").selectExpr(
+def erp_cust_az12(read: Read) -> DataFrame:
+    return read("customer").selectExpr(
         f"CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || "
         f"{_padded('c_custkey', 8)} AS CID",
         "CASE WHEN c_custkey % 77 = 0 THEN DATE '2999-01-01' "
@@ -90,8 +91,8 @@ def erp_cust_az12(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, nation = _read(spark, sf_dir, "customer"), _read(spark, sf_dir, "nation")
+def erp_loc_a101(read: Read) -> DataFrame:
+    customer, nation = read("customer"), read("nation")
     return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).selectExpr(
         f"'AW-' || {_padded('c_custkey', 8)} AS CID",
         "CASE c_custkey % 7 WHEN 0 THEN 'DE' WHEN 1 THEN 'USA' WHEN 2 THEN 'US ' "
@@ -99,8 +100,8 @@ def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def erp_px_cat_g1v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _read(spark, sf_dir, "part").where(
+def erp_px_cat_g1v2(read: Read) -> DataFrame:
+    df = read("part").where(
         "NOT (substring(p_type, 1, 2) = 'EC' AND p_size % 5 = 4)"
     )
     return df.selectExpr(
@@ -121,9 +122,9 @@ RAW_VIEWS = {
 }
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw_table(read: Read, name: str) -> DataFrame:
     """A raw view in the column types of its bronze table."""
-    view = RAW_VIEWS[name](spark, sf_dir)
+    view = RAW_VIEWS[name](read)
     return view.selectExpr(*[
         f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in BRONZE_SCHEMAS[name].fields

@@ -323,38 +323,47 @@ def silver_null_check(silver: Tables) -> DataFrame:
 
 
 # How each raw column has to read: a value that is there but does not read is counted.
+# "code" is a date code, "flag" a yes/no flag, the rest are Spark types.
 TYPE_RULES = {
     "crm_cust_info": {
-        "cst_id": lambda c: c.try_cast("bigint"),
-        "cst_create_date": lambda c: c.try_cast("date"),
+        "cst_id": "bigint",
+        "cst_create_date": "date",
     },
     "crm_prd_info": {
-        "prd_id": lambda c: c.try_cast("bigint"),
-        "prd_cost": lambda c: c.try_cast("int"),
-        "prd_start_dt": lambda c: c.try_cast("date"),
-        "prd_end_dt": lambda c: c.try_cast("date"),
+        "prd_id": "bigint",
+        "prd_cost": "int",
+        "prd_start_dt": "date",
+        "prd_end_dt": "date",
     },
     "crm_sales_details": {
-        "sls_cust_id": lambda c: c.try_cast("bigint"),
-        "sls_order_dt": C.date_code,
-        "sls_ship_dt": C.date_code,
-        "sls_due_dt": C.date_code,
-        "sls_sales": lambda c: c.try_cast("int"),
-        "sls_quantity": lambda c: c.try_cast("int"),
-        "sls_price": lambda c: c.try_cast("int"),
+        "sls_cust_id": "bigint",
+        "sls_order_dt": "code",
+        "sls_ship_dt": "code",
+        "sls_due_dt": "code",
+        "sls_sales": "int",
+        "sls_quantity": "int",
+        "sls_price": "int",
     },
-    "erp_cust_az12": {"BDATE": lambda c: c.try_cast("date")},
-    "erp_px_cat_g1v2": {"MAINTENANCE": lambda c: C.yes_no(F.trim(c))},
+    "erp_cust_az12": {"BDATE": "date"},
+    "erp_px_cat_g1v2": {"MAINTENANCE": "flag"},
 }
 
 
+def _read_as(col: str, kind: str) -> Column:
+    if kind == "code":
+        return C.date_code(col)
+    if kind == "flag":
+        return C.yes_no(f"trim({col})")
+    return F.expr(f"try_cast({col} AS {kind})")
+
+
 def type_check(tables: Tables) -> DataFrame:
     """Values present that do not convert to the column's silver type."""
     rows = []
     for table, rules in TYPE_RULES.items():
         measures = {
-            c: F.count_if(F.col(c).isNotNull() & read(F.col(c)).isNull())
-            for c, read in rules.items()
+            c: F.count_if(F.col(c).isNotNull() & _read_as(c, kind).isNull())
+            for c, kind in rules.items()
         }
         rows.append(_per_column(tables[table], table, measures))
     return stack_rows(rows).select(

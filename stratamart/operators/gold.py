@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stratamart.functions.cleaning import prefer
 from stratamart.operators.joins import hot_keys_for, left_lookup
@@ -24,14 +23,13 @@ def customer_rows(crm: DataFrame, demographics: DataFrame, location: DataFrame)
 
     ``customer_key`` is the business key here, the surrogate key in gold.
     """
-    demo = demographics.select(
-        "customer_number", F.col("gender").alias("_erp_gender"),
-        F.col("birth_date").alias("birthdate"),
+    demo = demographics.selectExpr(
+        "customer_number", "gender AS _erp_gender", "birth_date AS birthdate"
     )
     place = location.select("customer_number", "country")
-    base = crm.select(
+    base = crm.selectExpr(
         "customer_key", "customer_id", "firstname", "lastname", "marital_status", "gender",
-        F.col("created_date").alias("create_date"),
+        "created_date AS create_date",
     )
     found = hot_keys_for(base, ("customer_key", demo), ("customer_key", place))
     hot = found.get("customer_key")
@@ -40,7 +38,7 @@ def customer_rows(crm: DataFrame, demographics: DataFrame, location: DataFrame)
         place, "customer_key", "customer_number", hot=hot,
     )
     return joined.withColumn(
-        "gender", prefer(F.col("gender"), F.col("_erp_gender"))
+        "gender", prefer("gender", "_erp_gender")
     ).select(*CUSTOMER_COLUMNS)
 
 
@@ -56,12 +54,12 @@ def product_rows(
 ) -> DataFrame:
     """Products, every version unless ``current_only``, with their category."""
     if current_only:
-        products = products.where(F.col("end_date").isNull())
+        products = products.where("end_date IS NULL")
     base = products.select(
         "product_id", "product_number", "product_name", "category_id", "product_line", "start_date"
     )
-    cats = categories.select(
-        F.col("category_id").alias("_cat"), "category", "subcategory", "maintenance_flag"
+    cats = categories.selectExpr(
+        "category_id AS _cat", "category", "subcategory", "maintenance_flag"
     )
     hot = hot_keys_for(base, ("category_id", cats)).get("category_id")
     return left_lookup(base, cats, "category_id", "_cat", hot=hot).select(*PRODUCT_COLUMNS)
@@ -80,7 +78,7 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     Keys without a dimension row stay NULL. Rows are filtered before the lookups,
     and each lookup side is one row per key, so no sale is multiplied.
     """
-    kept = sales.where(F.col("sales_amount").isNull() | (F.col("sales_amount") >= 0)).select(
+    kept = sales.where("sales_amount IS NULL OR sales_amount >= 0").select(
         "order_number", "product_number", "customer_id", "order_date", "ship_date",
         "due_date", "sales_amount", "quantity", "price",
     )

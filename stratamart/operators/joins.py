@@ -12,6 +12,8 @@ HOT_SHARE = 0.01
 HOT_ROWS = 1_000_000
 # Rows of one hot key that one task is meant to take.
 ROWS_PER_SALT = 500_000
+# A left side estimated below this is shuffled as it is: even one task could take it.
+SMALL_LEFT_BYTES = 64 << 20
 # The sketch keeps this many candidates; no more than 1 / HOT_SHARE keys can be hot.
 CANDIDATES = 200
 TRACKED_ITEMS = 10_000
@@ -82,8 +84,13 @@ def find_hot_keys(
     return found
 
 
-def hot_keys_for(left: DataFrame, *lookups: tuple[str, DataFrame]) -> dict[str, HotKeys]:
+def hot_keys_for(
+    left: DataFrame, *lookups: tuple[str, DataFrame], small_left: int = SMALL_LEFT_BYTES
+) -> dict[str, HotKeys]:
     """Hot keys of ``left`` for the lookups whose right side Spark will not broadcast."""
+    size = planned_bytes(left)
+    if size is not None and size <= small_left:
+        return {}
     shuffled = dict.fromkeys(k for k, right in lookups if not spark_will_broadcast(right))
     return find_hot_keys(left, *shuffled) if shuffled else {}
 

@@ -29,15 +29,14 @@ _PLACE = "_place"
 _PLACE_BITS = 33  # monotonically_increasing_id(): partition above, row below
 
 
-def _sort_columns(df: DataFrame, order_by: Sequence[str | Column]) -> list[Column]:
+def _sort_columns(df: DataFrame, order_by: Sequence[str | Column]) -> list[str | Column]:
     """The given order, then every other orderable column, so ties are settled."""
     given = {c for c in order_by if isinstance(c, str)}
     rest = [
         f.name for f in df.schema.fields
         if f.name not in given and f.name != _ROW and not isinstance(f.dataType, T.MapType)
     ]
-    first = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
-    return first + [F.col(c).asc_nulls_first() for c in rest]
+    return [*order_by, *rest]  # names sort ascending, NULL first
 
 
 def _staged_with_row(df: DataFrame, label: str) -> DataFrame:
@@ -48,16 +47,16 @@ def _staged_with_row(df: DataFrame, label: str) -> DataFrame:
 
 
 def _number_staged(
-    staged: DataFrame, total: int, sort: list[Column], name: str, label: str, one_task_rows: int,
+    staged: DataFrame, total: int, sort: list[str | Column], name: str, label: str, one_task_rows: int,
     rows_per_partition: int,
 ) -> DataFrame:
     if total <= one_task_rows:
-        number = F.row_number().over(Window.orderBy(*sort, F.col(_ROW)))
+        number = F.row_number().over(Window.orderBy(*sort, _ROW))
         return staged.withColumn(name, number.cast("long"))
     parts = min(MAX_PARTITIONS, -(-total // rows_per_partition))
     placed = stage(
-        staged.repartitionByRange(parts, *sort, F.col(_ROW))
-        .sortWithinPartitions(*sort, F.col(_ROW))
+        staged.repartitionByRange(parts, *sort, _ROW)
+        .sortWithinPartitions(*sort, _ROW)
         .withColumn(_PLACE, F.monotonically_increasing_id()),
         label,
     )
@@ -114,7 +113,7 @@ def equal_parts(
     for name, order_by in orders.items():
         sort = _sort_columns(df, order_by)
         if total <= one_task_rows:
-            window = Window.orderBy(*sort, F.col(_ROW))
+            window = Window.orderBy(*sort, _ROW)
             out = out.withColumn(name, F.ntile(parts).over(window))
         else:
             ranked = _number_staged(
@@ -142,8 +141,8 @@ def latest_per_key(
         f.name for f in df.schema.fields
         if f.name not in {*keys, *named} and not isinstance(f.dataType, T.MapType)
     ]
-    order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order_by]
-    window = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).desc_nulls_last() for c in rest])
+    order = [F.desc(c) if isinstance(c, str) else c for c in [*order_by, *rest]]  # NULL last
+    window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
@@ -153,7 +152,7 @@ def newest_key(df: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame
     With one number to keep, ``max`` combines before the shuffle and needs no sort.
     """
     return (
-        df.where(F.col(natural_key).isNotNull())
+        df.where(f"{natural_key} IS NOT NULL")
         .groupBy(natural_key)
         .agg(F.max(surrogate_key).alias(surrogate_key))
     )

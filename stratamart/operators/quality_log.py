@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamart import fixed_values as V
+from stratamart.functions.cleaning import literal
 from stratamart.schemas import LOG_SCHEMA
 
 PIPELINE_NAME = "stratamart"
@@ -18,33 +19,33 @@ class QualityGateError(RuntimeError):
 
 def log_row(
     score: DataFrame, task: str, layer: str, *,
-    pipeline: str = PIPELINE_NAME, run_timestamp: Column | None = None,
+    pipeline: str = PIPELINE_NAME, run_timestamp: str = "current_timestamp()",
 ) -> DataFrame:
     """Bring a scored frame to the log schema.
 
     Counters the check does not measure are 0 and issue lists empty, as readers of
-    the log expect; other fields that were not measured are NULL.
+    the log expect; other fields that were not measured are NULL. ``run_timestamp`` is
+    a SQL expression.
     """
     given = {
-        "run_timestamp": F.current_timestamp() if run_timestamp is None else run_timestamp,
-        "pipeline_name": F.lit(pipeline),
-        "task_name": F.lit(task),
-        "layer": F.lit(layer),
+        "pipeline_name": literal(pipeline), "task_name": literal(task), "layer": literal(layer),
     }
     columns = []
     for field in LOG_SCHEMA.fields:
         if field.name in given:
             value = given[field.name]
+        elif field.name == "run_timestamp":
+            value = run_timestamp
         elif field.name in score.columns:
-            value = F.col(field.name)
+            value = field.name
         elif isinstance(field.dataType, T.LongType):
-            value = F.lit(0)
+            value = "0"
         elif isinstance(field.dataType, T.ArrayType):
-            value = F.array()
+            value = "array()"
         else:
-            value = F.lit(None)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return score.select(*columns)
+            value = "NULL"
+        columns.append(f"CAST({value} AS {field.dataType.simpleString()}) AS {field.name}")
+    return score.selectExpr(*columns)
 
 
 def append_log(rows: DataFrame, table: str, fmt: str = "parquet") -> None:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import datetime as dt
+
+from pyspark.sql import DataFrame
 
 from stratamart import fixed_values as V
 from stratamart.functions import cleaning as C
@@ -11,27 +12,25 @@ from stratamart.functions import cleaning as C
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     df = C.trim_strings(bronze).withColumns({
-        "cst_marital_status": C.map_codes(F.col("cst_marital_status"), V.MARITAL_STATUS),
-        "cst_gndr": C.map_codes(F.col("cst_gndr"), V.GENDER_CODES),
+        "cst_marital_status": C.map_codes("cst_marital_status", V.MARITAL_STATUS),
+        "cst_gndr": C.map_codes("cst_gndr", V.GENDER_CODES),
     })
     return C.rename_columns(df, V.RENAME_CUSTOMERS)
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
-    key = F.col("prd_key")
-    start, end = C.ordered_range(
-        C.as_date(F.col("prd_start_dt")), C.as_date(F.col("prd_end_dt"))
-    )
+    start, end = C.ordered_range("try_cast(prd_start_dt AS date)", "try_cast(prd_end_dt AS date)")
     # withColumns reads the incoming columns throughout: the category still sees
-    # the whole key, the swap sees both original dates.
+    # the whole key, the swap sees both original dates. An end date is there after
+    # the swap exactly where it was there before.
     df = C.trim_strings(bronze).withColumns({
-        "cat_id": C.category_of(key),
-        "prd_key": C.number_of(key),
-        "prd_cost": C.default_zero(F.col("prd_cost")),
-        "prd_line": C.map_codes(F.col("prd_line"), V.PRODUCT_LINES),
+        "cat_id": C.category_of("prd_key"),
+        "prd_key": C.number_of("prd_key"),
+        "prd_cost": C.default_zero("prd_cost"),
+        "prd_line": C.map_codes("prd_line", V.PRODUCT_LINES),
         "prd_start_dt": start,
         "prd_end_dt": end,
-        "is_current": end.isNull(),
+        "is_current": C.as_date("prd_end_dt").isNull(),
     })
     return C.rename_columns(df, V.RENAME_PRODUCTS)
 
@@ -39,35 +38,31 @@ def silver_products(bronze: DataFrame) -> DataFrame:
 def silver_sales(bronze: DataFrame) -> DataFrame:
     dates = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
     df = C.trim_strings(bronze).withColumns({
-        **{c: C.date_code(F.col(c)) for c in dates},
-        "sls_price": C.repaired_price(
-            F.col("sls_price"), F.col("sls_sales"), F.col("sls_quantity")
-        ),
+        **{c: C.date_code(c) for c in dates},
+        "sls_price": C.repaired_price("sls_price", "sls_sales", "sls_quantity"),
     })
     return C.rename_columns(df, V.RENAME_SALES)
 
 
-def silver_demographics(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
+def silver_demographics(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     df = C.trim_strings(bronze).withColumns({
-        "CID": C.strip_prefix(F.col("CID"), V.ERP_CUSTOMER_PREFIX),
-        "BDATE": C.null_future(F.col("BDATE"), as_of),
-        "GEN": C.map_codes(F.col("GEN"), V.GENDER_SYNONYMS),
+        "CID": C.strip_prefix("CID", V.ERP_CUSTOMER_PREFIX),
+        "BDATE": C.null_future("BDATE", as_of),
+        "GEN": C.map_codes("GEN", V.GENDER_SYNONYMS),
     })
     return C.rename_columns(df, V.RENAME_DEMOGRAPHICS)
 
 
 def silver_location(bronze: DataFrame) -> DataFrame:
     df = C.trim_strings(bronze).withColumns({
-        "CID": C.remove_chars(F.col("CID"), "-"),
-        "CNTRY": C.map_codes(
-            F.col("CNTRY"), V.COUNTRIES, ignore_case=False, passthrough=True
-        ),
+        "CID": C.remove_chars("CID", "-"),
+        "CNTRY": C.map_codes("CNTRY", V.COUNTRIES, ignore_case=False, passthrough=True),
     })
     return C.rename_columns(df, V.RENAME_LOCATION)
 
 
 def silver_category(bronze: DataFrame) -> DataFrame:
-    df = C.trim_strings(bronze).withColumns({"MAINTENANCE": C.yes_no(F.col("MAINTENANCE"))})
+    df = C.trim_strings(bronze).withColumns({"MAINTENANCE": C.yes_no("MAINTENANCE")})
     return C.rename_columns(df, V.RENAME_CATEGORY)
 
 

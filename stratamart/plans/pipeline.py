@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 
 from stratamart import fixed_values as V
 from stratamart.operators import gold, scoring
@@ -29,7 +31,7 @@ class Pipeline:
         prefix: str = "",
         location: str | None = None,
         fmt: str = "parquet",
-        as_of: Column | None = None,
+        as_of: dt.date | None = None,
         blocking: frozenset[str] = frozenset({"GOLD"}),
         name: str = "stratamart",
     ) -> None:

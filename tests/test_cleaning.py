@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from stratamart import fixed_values as V
 from stratamart.functions import cleaning as C
@@ -11,7 +10,7 @@ DAY = dt.date
 
 def apply(spark, values, kind, make):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, c {kind}")
-    return [r.o for r in df.select("i", make(F.col("c")).alias("o")).orderBy("i").collect()]
+    return [r.o for r in df.select("i", make("c").alias("o")).orderBy("i").collect()]
 
 
 def test_trim_strings_takes_spaces_only_and_leaves_other_types(spark):
@@ -47,6 +46,12 @@ def test_country_codes_keep_case_and_pass_names_through(spark):
     assert got == expected
 
 
+def test_literals_are_quoted(spark):
+    codes = {"it's": "a\\b", "x": "it's"}
+    assert apply(spark, ["it's", "X", "x"], "string", lambda c: C.map_codes(
+        c, codes, ignore_case=False)) == ["a\\b", "n/a", "it's"]
+
+
 def test_yes_no(spark):
     assert apply(spark, ["Yes", "NO", "", None, "maybe"], "string", C.yes_no) == [
         True, False, None, None, None]
@@ -87,14 +92,14 @@ def test_ordered_range_swaps_only_inverted_closed_ranges(spark):
     df = spark.createDataFrame(
         [(1, late, early), (2, early, late), (3, late, None), (4, early, early), (5, None, early)],
         "i int, s date, e date")
-    start, end = C.ordered_range(F.col("s"), F.col("e"))
+    start, end = C.ordered_range("s", "e")
     got = [(r.a, r.b) for r in df.select("i", start.alias("a"), end.alias("b"))
            .orderBy("i").collect()]
     assert got == [(early, late), (early, late), (late, None), (early, early), (None, early)]
 
 
 def test_null_future_keeps_the_day_itself(spark):
-    as_of = F.lit("2020-01-01").cast("date")
+    as_of = DAY(2020, 1, 1)
     given = [DAY(2020, 1, 1), DAY(2020, 1, 2), DAY(1950, 1, 1), None]
     assert apply(spark, given, "date", lambda c: C.null_future(c, as_of)) == [
         DAY(2020, 1, 1), None, DAY(1950, 1, 1), None]
@@ -108,7 +113,7 @@ def test_repaired_price(spark):
     ]
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)],
                                "i int, p int, s int, q int, want double")
-    out = df.select("i", C.repaired_price(F.col("p"), F.col("s"), F.col("q")).alias("o"))
+    out = df.select("i", C.repaired_price("p", "s", "q").alias("o"))
     assert dict(out.dtypes)["o"] == "double"
     assert [r.o for r in out.orderBy("i").collect()] == [c[3] for c in cases]
 
@@ -117,5 +122,5 @@ def test_prefer(spark):
     df = spark.createDataFrame(
         [(1, "Male", "Female"), (2, "n/a", "Female"), (3, "n/a", None), (4, None, "Male"),
          (5, None, None)], "i int, p string, f string")
-    out = df.select("i", C.prefer(F.col("p"), F.col("f")).alias("o")).orderBy("i")
+    out = df.select("i", C.prefer("p", "f").alias("o")).orderBy("i")
     assert [r.o for r in out.collect()] == ["Male", "Female", "n/a", "Male", "n/a"]

@@ -55,7 +55,7 @@ def test_csv_inference_and_text_reading(spark, source):
 
 def test_pipeline_end_to_end(spark, source, tmp_path):
     p = Pipeline(spark, source, prefix="e2e_", location=str(tmp_path / "db"),
-                 blocking=frozenset(), as_of=F.lit("2026-01-01").cast("date"))
+                 blocking=frozenset(), as_of=dt.date(2026, 1, 1))
     log = p.run()
     assert rows(p.table("gold", "dim_customers"), "customer_key", "customer_id", "country",
                 "gender", "birthdate") == [

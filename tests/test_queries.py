@@ -4,7 +4,7 @@ import pytest
 from conftest import TEST_DATA, planned
 
 import __spark_entry__ as entry_points
-from catalogue.raw_views import raw_table
+from catalogue.queries import Model
 from check_oracle import compare, oracle_connection
 from stratamart.operators.keys import number_rows
 from stratamart.operators.silver import silver_sales
@@ -41,7 +41,7 @@ def test_plans_have_no_python_and_no_cross_joins(spark, name):
 
 
 def test_scan_reads_only_what_silver_sales_needs(spark):
-    df = silver_sales(raw_table(spark, TEST_DATA, "crm_sales_details"))
+    df = silver_sales(Model(spark, TEST_DATA).bronze("crm_sales_details"))
     text = planned(df.select("order_number", "sales_amount"))
     assert "l_quantity" not in text and "l_shipdate" not in text
 

@@ -53,7 +53,8 @@ def _number_staged(
     if total <= one_task_rows:
         number = F.row_number().over(Window.orderBy(*sort, _ROW))
         return staged.withColumn(name, number.cast("long"))
-    parts = min(MAX_PARTITIONS, -(-total // rows_per_partition))
+    slots = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(MAX_PARTITIONS, max(slots, -(-total // rows_per_partition)))
     placed = stage(
         staged.repartitionByRange(parts, *sort, _ROW)
         .sortWithinPartitions(*sort, _ROW)

@@ -63,9 +63,10 @@ def _number_staged(
     )
     part = F.shiftright(F.col(_PLACE), _PLACE_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = stage(
         placed.groupBy(part.alias("_part")).count()
-        .select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+        .select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")),
+        label,
     )  # at most MAX_PARTITIONS rows of two numbers
     in_part = F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return (

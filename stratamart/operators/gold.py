@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stratamart.functions.cleaning import prefer
-from stratamart.operators.joins import hot_keys_for, left_lookup
+from stratamart.operators.joins import hot_keys_for, hot_right_keys, left_lookup
 from stratamart.operators.keys import newest_key, number_rows
 
 CUSTOMER_COLUMNS = [
@@ -34,8 +34,12 @@ def customer_rows(crm: DataFrame, demographics: DataFrame, location: DataFrame)
     found = hot_keys_for(base, ("customer_key", demo), ("customer_key", place))
     hot = found.get("customer_key")
     joined = left_lookup(
-        left_lookup(base, demo, "customer_key", "customer_number", hot=hot),
-        place, "customer_key", "customer_number", hot=hot,
+        left_lookup(
+            base, demo, "customer_key", "customer_number",
+            hot=hot, hot_right=hot_right_keys(demo, "customer_number"),
+        ),
+        place, "customer_key", "customer_number",
+        hot=hot, hot_right=hot_right_keys(place, "customer_number"),
     )
     return joined.withColumn(
         "gender", prefer("gender", "_erp_gender")
@@ -62,7 +66,9 @@ def product_rows(
         "category_id AS _cat", "category", "subcategory", "maintenance_flag"
     )
     hot = hot_keys_for(base, ("category_id", cats)).get("category_id")
-    return left_lookup(base, cats, "category_id", "_cat", hot=hot).select(*PRODUCT_COLUMNS)
+    return left_lookup(
+        base, cats, "category_id", "_cat", hot=hot, hot_right=hot_right_keys(cats, "_cat")
+    ).select(*PRODUCT_COLUMNS)
 
 
 def dim_products(

@@ -75,12 +75,11 @@ def enforce_gate(log_rows: DataFrame, blocking: bool = True) -> None:
 def quality_trend(log: DataFrame, alert_below: int = V.PASS_SCORE) -> DataFrame:
     """Per task: change against the run before, and whether the score asks for attention."""
     runs = Window.partitionBy("pipeline_name", "task_name").orderBy("run_timestamp")
-    newest = Window.partitionBy("pipeline_name", "task_name").orderBy(F.desc("run_timestamp"))
     before = F.lag("quality_score").over(runs)
     return log.select(
         "task_name", "layer", "run_timestamp", "quality_score", "status",
         before.alias("previous_score"),
         (F.col("quality_score") - before).alias("score_change"),
         (F.col("quality_score") < alert_below).alias("alert"),
-        (F.row_number().over(newest) == 1).alias("is_latest"),
+        F.lead("run_timestamp").over(runs).isNull().alias("is_latest"),
     )

@@ -23,13 +23,29 @@ def plain(left, right):
     return left.join(right, left["k"] == right["rk"], "left").drop("rk")
 
 
+@pytest.mark.parametrize("hot_right", [
+    None, HotKeys(), HotKeys(["hot"], False, 5), HotKeys(["k1", "hot"], True, 3),
+])
 @pytest.mark.parametrize("hot", [
     None, HotKeys(), HotKeys(["hot"], False, 4), HotKeys(["hot", "k1"], True, 7),
     HotKeys([], True, 3), HotKeys(["absent"], False, 2),
 ])
-def test_salting_never_changes_the_result(sides, hot, no_broadcast):
+def test_salting_never_changes_the_result(sides, hot, hot_right, no_broadcast):
     left, right = sides
-    assert rows(left_lookup(left, right, "k", "rk", hot=hot)) == rows(plain(left, right))
+    got = left_lookup(left, right, "k", "rk", hot=hot, hot_right=hot_right)
+    assert rows(got) == rows(plain(left, right))
+
+
+def test_a_hot_right_key_is_found_and_spread(spark, no_broadcast):
+    i = F.col("id")
+    right = spark.range(3000).select(
+        F.when(i % 3 == 0, "hot").otherwise(i.cast("string")).alias("rk"), i.alias("w"))
+    left = spark.createDataFrame([("hot", 1), ("1", 2), ("none", 3), (None, 4)], "k string, v int")
+    assert joins.hot_right_keys(right, "rk") is None  # small
+    found = find_hot_keys(right, "rk", hot_rows=100, rows_per_salt=100)["rk"]
+    assert found.values == ["hot"] and found.salts == 10
+    got = left_lookup(left, right, "k", "rk", hot_right=found)
+    assert rows(got) == rows(plain(left, right))
 
 
 def test_hot_keys_are_found_with_bounded_memory(sides):

@@ -6,6 +6,7 @@ from conftest import TEST_DATA, planned
 import __spark_entry__ as entry_points
 from catalogue.queries import Model
 from check_oracle import compare, oracle_connection
+from stratamart.operators import joins
 from stratamart.operators.keys import number_rows
 from stratamart.operators.silver import silver_sales
 from stratamart.plans import marts
@@ -83,3 +84,20 @@ def test_surrogate_keys_run_from_one_to_n_without_gaps(spark):
     n = lines.count()
     low, high, distinct = keyed.selectExpr("min(key)", "max(key)", "count(DISTINCT key)").first()
     assert (low, high, distinct) == (1, n, n)
+
+
+@pytest.fixture()
+def everything_is_hot(monkeypatch, no_broadcast):
+    """Joins shuffle, and keys count as hot from a few rows on."""
+    for function, name, value in [
+        (joins.find_hot_keys, "hot_rows", 3), (joins.find_hot_keys, "hot_share", 0.0),
+        (joins.find_hot_keys, "rows_per_salt", 2), (joins.hot_keys_for, "small_left", 0),
+        (joins.hot_right_keys, "small_right", 0),
+    ]:
+        monkeypatch.setitem(function.__kwdefaults__, name, value)
+
+
+@pytest.mark.parametrize("name", ["gold_dim_customers", "gold_dim_products", "gold_fact_sales"])
+def test_the_model_is_the_same_with_every_lookup_salted(spark, duck, name, everything_is_hot):
+    assert "_salt" in planned(entry_points.queries()[name](spark, TEST_DATA)) or "dim" in name
+    assert compare(spark, duck, name, TEST_DATA) == ""

@@ -135,14 +135,14 @@ def products(spark):
 @pytest.fixture()
 def categories(spark):
     return spark.createDataFrame(
-        [("C1", "Bikes", "Road Bikes", True)],
+        [("C1", "Cycles", "Touring Cycles", True)],
         "category_id string, category string, subcategory string, maintenance_flag boolean")
 
 
 def test_dim_products(products, categories):
     every = gold.dim_products(products, categories)
     assert rows(every, "product_key", "product_id", "category") == [
-        (1, 1, "Bikes"), (2, 3, None), (3, 2, "Bikes")]
+        (1, 1, "Cycles"), (2, 3, None), (3, 2, "Cycles")]
     current = gold.dim_products(products, categories, current_only=True)
     assert rows(current, "product_key", "product_id") == [(1, 3), (2, 2)]
 

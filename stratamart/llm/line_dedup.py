@@ -52,9 +52,18 @@ def _code_points(key: bytes, least: int) -> bool:
     return len(key) >= least and (least <= 1 or len(key.decode("utf-8", "replace")) >= least)
 
 
-def _hashes(text: str | None, least: int) -> set[int]:
-    keys = {line_key(x) for x in (text or "").encode().split(b"\n")}
-    return {xxhash.xxh3_64_intdigest(k) for k in keys if _code_points(k, least)}
+def _hashes(least: int):
+    """Key hashes of documents, distinct within each."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            found: list[int] = []
+            for text in batch.column(0).to_pylist():
+                keys = {line_key(x) for x in (text or "").encode().split(b"\n")}
+                found += {xxhash.xxh3_64_intdigest(k) for k in keys if _code_points(k, least)}
+            yield np.array(found, np.uint64)
+
+    return hashes
 
 
 def _positions(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -62,6 +71,11 @@ def _positions(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(hashes >> np.uint64(shift)) & mask for shift in (0, 64 - bits)][:MAPS]
 
 
+def filter_bits(wanted: int) -> int:
+    """Size of a bitmap as a power of two, within the bounds of what is broadcast."""
+    return min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(max(1, wanted))))))
+
+
 def _sparse(hashes: np.ndarray, bits: int) -> Iterator[tuple]:
     """A task's bits per chunk: positions set at least once, and at least twice."""
     for m, pos in enumerate(_positions(hashes, bits)):
@@ -80,18 +94,18 @@ def _sparse(hashes: np.ndarray, bits: int) -> Iterator[tuple]:
             start = end
 
 
-def _build(bits: int, least: int):
+def _build(hashes, bits: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            held: list[int] = []
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    held.extend(_hashes(text, least))
-                    if len(held) >= FLUSH:
-                        yield from _sparse(np.array(held, np.uint64), bits)
-                        held = []
-            if held:
-                yield from _sparse(np.array(held, np.uint64), bits)
+            held, n = [], 0
+            for found in hashes(batches):
+                held.append(found)
+                n += len(found)
+                if n >= FLUSH:
+                    yield from _sparse(np.concatenate(held), bits)
+                    held, n = [], 0
+            if n:
+                yield from _sparse(np.concatenate(held), bits)
 
         kinds = {"chunk": pa.int64(), "once": pa.binary(), "twice": pa.binary()}
         return emit(kinds, rows(), 4_096)
@@ -112,13 +126,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emit({"chunk": pa.int64(), "twice": pa.binary()}, rows, 1_024)
 
 
-def seen_twice(docs: DataFrame, bits: int, least: int) -> list[np.ndarray]:
-    """The second filter over all documents: packed bitmaps of 2**bits bits."""
-    spark = docs.sparkSession
+def seen_twice(rows: DataFrame, hashes, bits: int) -> list[np.ndarray]:
+    """The second filter over all rows: packed bitmaps of 2**bits bits.
+
+    ``hashes`` turns record batches into arrays of 64-bit hashes, each hash once for
+    every document that has it.
+    """
+    spark = rows.sparkSession
     chunks = 1 << (bits - CHUNK_BITS)
     merged = (
-        docs.select("text")
-        .mapInArrow(_build(bits, least), "chunk long, once binary, twice binary")
+        rows.mapInArrow(_build(hashes, bits), "chunk long, once binary, twice binary")
         .repartition(min(partitions(spark), chunks * MAPS), "chunk")
         .mapInArrow(_merge, "chunk long, twice binary")
     )
@@ -130,7 +147,7 @@ def seen_twice(docs: DataFrame, bits: int, least: int) -> list[np.ndarray]:
     return maps
 
 
-def _suspected(hashes: np.ndarray, maps: list[np.ndarray], bits: int) -> np.ndarray:
+def suspected(hashes: np.ndarray, maps: list[np.ndarray], bits: int) -> np.ndarray:
     found = np.ones(len(hashes), bool)
     for at, bitmap in zip(_positions(hashes, bits), maps):
         found &= (bitmap[(at >> np.uint64(3)).astype(np.int64)]
@@ -150,7 +167,7 @@ def _occurrences(maps, bits: int, least: int):
                     keys = {line_key(x) for x in (text or "").encode().split(b"\n")}
                     keys = [k for k in keys if _code_points(k, least)]
                     hashes = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
-                    for i in np.flatnonzero(_suspected(hashes, bitmaps, bits)):
+                    for i in np.flatnonzero(suspected(hashes, bitmaps, bits)):
                         yield doc_id, mark, identity(keys[i])
 
         return emit({"doc_id": pa.int64(), "mark": pa.int64(), "key": pa.binary()}, rows())
@@ -193,9 +210,8 @@ def drop_repeated_lines(
     if min_docs < 2 or min_key < 1:
         raise ValueError("min_docs must be at least 2, min_key at least 1")
     spark = docs.sparkSession
-    wanted = max(1, docs.count()) * BITS_PER_DOCUMENT
-    bits = min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(wanted)))))
-    maps = spark.sparkContext.broadcast(seen_twice(docs, bits, min_key))
+    bits = filter_bits(docs.count() * BITS_PER_DOCUMENT)
+    maps = spark.sparkContext.broadcast(seen_twice(docs.select("text"), _hashes(min_key), bits))
     mark = F.xxhash64("text")
     found = stage(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark.alias("mark"), "text")

@@ -4,8 +4,9 @@ A byte goes when a string of ``LENGTH`` bytes covers it that also starts in a do
 a smaller doc_id. Sorting every suffix would move a text ``LENGTH`` times over. Instead each
 window of ``LENGTH`` bytes has an anchor, the place inside it whose ``GRAM`` bytes have the
 least hash: equal windows have equal anchors at equal places, so only suffixes at anchors
-are sorted. An anchor carries the bytes of all windows it stands for, is dealt to a bucket by
-the hash of its gram, and inside a bucket the suffixes at equal grams are put in order
+are sorted. Two Bloom filters over all anchors, once seen and twice seen, leave the anchors
+whose gram other documents may have. An anchor carries the bytes of all windows it stands
+for, is dealt to a bucket by the hash of its gram, and inside a bucket the suffixes at equal grams are put in order
 deep-shallow. From the common prefixes to the right and classes of equal bytes to the left
 every window's class follows, and with it the smallest document that holds the window.
 
@@ -14,6 +15,9 @@ There a window may have its smallest document under another salt: windows that a
 repeated under their own salt go on, at most once per salt and class, to be compared by
 their bytes' hash. The sample decides balance, never the result.
 
+The filters are of bounded size; over-full ones let more anchors through and change nothing
+else.
+
 Texts are UTF-8 bytes; a null text is empty. Matches never cross documents and are judged on
 the input. Rows with a null doc_id have no order and lose nothing; rows that share a doc_id
 are not smaller than one another, and are told apart by their texts. Only ``doc_id`` and
@@ -34,11 +38,12 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.common import emit, hot_keys, partitions, stage
 from stratamart.llm.deep_shallow import order_groups
+from stratamart.llm.line_dedup import filter_bits, seen_twice, suspected
 
 LENGTH, GRAM = 50, 20
 # Text bytes that one bucket of anchors stands for, and text that is cut up at a time.
 BUCKET_BYTES = 6_000_000
-TOGETHER = 2_000_000
+TOGETHER = 4_000_000
 # A gram is frequent from this share of the sampled anchors on: at most 65,536 are sent out.
 HOT_SHARE, SAMPLED, LEAST_SEEN = 1 / 65_536, 16, 8
 SALTS, DOCUMENTS_A_SALT = 32, 1_000_000
@@ -132,17 +137,33 @@ def _grams(length: int, gram: int):
     return grams
 
 
-def _dealt(length: int, gram: int, buckets: int, hot, salts: int):
-    """(bucket, block): the anchors of some documents that go to one bucket."""
+def _distinct(length: int, gram: int):
+    """Anchor hashes, each once for a document."""
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for _, _, texts, ends in _batches(batches):
+            doc, h, *_ = cut_anchors(b"".join(texts), ends, length, gram)
+            order = np.lexsort((h, doc))
+            doc, h = doc[order], h[order]
+            new = (np.diff(doc, prepend=-1) != 0) | (np.diff(h, prepend=0) != 0)
+            yield h[new].view(np.uint64)
+
+    return distinct
+
+
+def _dealt(length: int, gram: int, buckets: int, hot, salts: int, maps, bits: int):
+    """(bucket, block): the suspected anchors of some documents that go to one bucket."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         frequent = hot.value
 
         def rows():
             for ids, marks, texts, ends in _batches(batches):
                 raw = b"".join(texts)
-                doc, h, at, first, last = cut_anchors(raw, ends, length, gram)
+                anchors = cut_anchors(raw, ends, length, gram)
+                known = suspected(anchors[1].view(np.uint64), maps.value, bits)
+                doc, h, at, first, last = (f[known] for f in anchors)
                 if not len(doc):
                     continue
                 salted = np.isin(h, frequent)
@@ -313,8 +334,10 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
         .where(F.col("n") >= LEAST_SEEN), "grams")
     frequent = hot_keys(seen, "gram", share=HOT_SHARE)
     hot = spark.sparkContext.broadcast(np.array(sorted(frequent), np.int64))
+    bits = filter_bits((size[0] or 0) // 3)  # some six bits for each anchor
+    maps = spark.sparkContext.broadcast(seen_twice(base, _distinct(length, gram), bits))
     found = stage(
-        base.mapInArrow(_dealt(length, gram, buckets, hot, salts), "bucket long, block binary")
+        base.mapInArrow(_dealt(length, gram, buckets, hot, salts, maps, bits), "bucket long, block binary")
         .groupBy("bucket").applyInPandas(
             _resolved(length, gram), "doc long, mark long, low long, high long, window long"), "stretches")
     sure = found.where("window IS NULL").select("doc", "mark", "low", "high")

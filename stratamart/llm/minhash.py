@@ -5,10 +5,12 @@ Texts with equal sets are collapsed first. Bands of the signature put the rest i
 buckets; pairs from a bucket pass the signature estimate and are then confirmed on
 their full shingle sets. Components come from alternating large-star and small-star.
 
-No bucket emits all its pairs. A round compares each bucket's members with a few
-centres: the first round with the smallest id, later rounds with members outside
-the bucket's largest component. Rounds go on until every bucket is one component
-or has had all members outside its largest component as centres, so that no link
+No bucket emits all its pairs. First every bucket's members are compared with the bucket's
+smallest one alone. In the buckets that are then still of several components, the members
+outside the largest one are compared with all members: by signatures, inside the task that
+holds the bucket or a tile of it, so that only pairs alike enough leave it, each from the
+first bucket it shares. This is done twice: with the few most alike members of each other
+component, which joins most of what belongs together, and then with all members. No link
 between two components is left out; links inside a component cannot change it.
 
 A null or empty text, or one without words, has no shingles and links with nothing.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.llm.common import emit, hot_keys, spread_join, stage
@@ -33,11 +35,17 @@ from stratamart.llm.components import components
 from stratamart.llm.shingles import WORDS, WordHashes, shared, shingle_set
 
 BANDS, ROWS = 38, 5
-# Members compared with their bucket in one later round.
-CENTRES = 32
 # A pair is dropped unconfirmed if its signatures agree this many standard
-# deviations less often than at the threshold (about 3 in 10 million links).
-SLACK = 5.0
+# deviations less often than at the threshold (about 3 in 100,000 links that
+# lie at the threshold itself).
+SLACK = 4.0
+# Members of a bucket that are compared with in one tile of it.
+TILE = 4_096
+# Most alike members of a component that are asked about first.
+FIRST_ASKED = 3
+# Bits of the map that tells which texts to shuffle for confirmation (2 MB, 262,144
+# rows at most). A full map lets all texts through.
+TEXT_BITS = 1 << 24
 _BLOCK = 512
 
 
@@ -78,6 +86,8 @@ def _sign(bands: int, rows: int, words: int):
 
 
 def _buckets(bands: int, rows: int):
+    """(bucket, node, band) of each band of the full minima."""
+
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, _ = _multipliers(rows)
         turn = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -90,30 +100,97 @@ def _buckets(bands: int, rows: int):
             mixed = (mixed ^ turn) * np.uint64(0xD6E8FEB86659FD93)
             mixed ^= mixed >> np.uint64(32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(mixed.ravel().view(np.int64)), pa.array(np.repeat(ids, bands))],
-                names=["bucket", "node"])
+                [pa.array(mixed.ravel().view(np.int64)), pa.array(np.repeat(ids, bands)),
+                 pa.array(np.tile(np.arange(bands, dtype=np.int32), len(ids)))],
+                names=["bucket", "node", "band"])
 
     return buckets
 
 
-def _alike(threshold: float, slack: float):
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            low = _bytes(batch.column(1))[:, ::4]
+            rows = pa.array([r.tobytes() for r in low], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["node", "sig"])
+
+
+def _least(threshold: float, n: int) -> float:
+    return threshold - SLACK * np.sqrt(threshold * (1 - threshold) / n)
+
+
+def _bytes(column) -> np.ndarray:
+    held = column.to_pylist()
+    return np.frombuffer(b"".join(held), np.uint8).reshape(len(held), -1)
+
+
+def _alike(threshold: float):
     """Pairs whose signatures agree often enough."""
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32)
-                .reshape(batch.num_rows, -1) for k in ("sig_x", "sig_c"))
-            n = left.shape[1]
-            least = threshold - slack * np.sqrt(threshold * (1 - threshold) / n)
-            keep = pa.array((left == right).mean(axis=1) >= least)
-            yield batch.select(["x", "c"]).filter(keep)
+            if batch.num_rows:
+                left, right = (_bytes(batch.column(k)) for k in ("sig_x", "sig_c"))
+                keep = (left == right).mean(axis=1) >= _least(threshold, left.shape[1])
+                yield batch.select(["x", "c"]).filter(pa.array(keep))
 
     return alike
 
 
+def _best(agree: np.ndarray, part: np.ndarray, few: int) -> np.ndarray:
+    """Places of the ``few`` largest of ``agree`` in every part."""
+    order = np.lexsort((-agree, part))
+    starts = np.flatnonzero(np.diff(part[order], prepend=part[order][:1] - 1))
+    rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    return order[rank < few]
+
+
+def _across(threshold: float, rows: int, few: int | None):
+    """Alike pairs of different components, from tiles sorted with their targets first.
+
+    A pair leaves the first band in which the two agree. With ``few``, a member asks about
+    its most alike members of each component only.
+    """
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, nodes, parts, sigs = None, [], [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, number, node, part, asks, band = (
+                batch.column(k).to_numpy(zero_copy_only=False)
+                for k in ("bucket", "tile", "node", "component", "asks", "band"))
+            sig = _bytes(batch.column("sig"))
+            change = (np.diff(bucket) != 0) | (np.diff(number) != 0) | (np.diff(asks) != 0)
+            bounds = [0, *(np.flatnonzero(change) + 1), batch.num_rows]
+            found = []
+            for low, high in zip(bounds, bounds[1:]):
+                if (bucket[low], number[low]) != tile:
+                    tile, nodes, parts, sigs = (bucket[low], number[low]), [], [], []
+                if not asks[low]:
+                    nodes.append(node[low:high])
+                    parts.append(part[low:high])
+                    sigs.append(sig[low:high])
+                elif nodes:
+                    target, of, known = map(np.concatenate, (nodes, parts, sigs))
+                    least = _least(threshold, known.shape[1])
+                    for i in range(low, high):
+                        same = known == sig[i]
+                        agree = same.mean(axis=1)
+                        near = np.flatnonzero((agree >= least) & (of != part[i]))
+                        before = same[near, :band[i] * rows].reshape(len(near), int(band[i]), rows)
+                        near = near[~before.all(axis=2).any(axis=1)]
+                        if few and len(near) > few:
+                            near = near[_best(agree[near], of[near], few)]
+                        found.append(np.stack([
+                            np.maximum(target[near], node[i]), np.minimum(target[near], node[i])]))
+            if found:
+                x, c = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(c)], names=["x", "c"])
+
+    return across
+
+
 def _confirm(percent: int, words: int):
     """Pairs with 100 * intersection >= percent * union, on their full sets."""
 
@@ -143,20 +220,23 @@ def _hot(counted: DataFrame, key: str) -> list:
     return hot_keys(counted.groupBy(key).agg(F.count("*").alias("n")), key)
 
 
-def _links(pairs: DataFrame, signed: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """The pairs (x, c) that are links: estimate by signatures, then full sets."""
-    pairs = stage(pairs, "pairs")
-    sig = signed.select("node", "sig")
-    near = spread_join(
-        pairs.join(sig.withColumnsRenamed({"node": "x", "sig": "sig_x"}), "x"),
-        sig.withColumnsRenamed({"node": "c", "sig": "sig_c"}), "c", _hot(pairs, "c"), F.col("x"))
-    near = stage(
-        near.select("x", "c", "sig_x", "sig_c").mapInArrow(_alike(percent / 100, SLACK), "x long, c long"),
-        "near")
-    wanted = near.select(F.col("x").alias("node")).union(near.select("c")).distinct()
-    texts = stage(
-        docs.select("node", "text").join(wanted.hint("shuffle_hash"), "node", "left_semi")
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes; a map of bits keeps other texts from the shuffle."""
+    word = F.expr(f"pmod(node, {TEXT_BITS}) DIV 64").alias("_word")
+    mask = F.expr("shiftleft(1L, CAST(pmod(node, 64) AS INT))")
+    wanted = stage(nodes.distinct(), "wanted")
+    bits = stage(wanted.groupBy(word).agg(F.bit_or(mask).alias("_bits")), "bits")
+    likely = docs.withColumn("_word", word).join(F.broadcast(bits), "_word").where(
+        F.col("_bits").bitwiseAND(mask) != 0)
+    return stage(
+        likely.select("node", "text").join(wanted.hint("shuffle_hash"), "node", "left_semi")
         .dropDuplicates(["node"]), "texts")
+
+
+def _links(near: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """The alike pairs (x, c) that are links, confirmed on their full sets."""
+    near = stage(near.distinct(), "near")
+    texts = _texts(docs, near.select(F.col("x").alias("node")).union(near.select("c")))
     full = spread_join(
         near.join(texts.withColumnsRenamed({"node": "x", "text": "text_x"}), "x"),
         texts.withColumnsRenamed({"node": "c", "text": "text_c"}), "c", _hot(near, "c"), F.col("x"))
@@ -190,43 +270,44 @@ def near_duplicates(
         usable.join(sets.select("node"), "node", "left_semi").dropDuplicates(["node"])
         .select("node", "id", "sig"), "leads")
     banded = stage(
-        leads.select("node", "sig").mapInArrow(_buckets(bands, rows), "bucket long, node long").distinct(),
+        leads.select("node", "sig").mapInArrow(_buckets(bands, rows), "bucket long, node long, band int"),
         "buckets")
     found = stage(
         banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1"),
         "shared-buckets")
     hot = hot_keys(found, "bucket")
     members = stage(spread_join(banded, found.drop("n"), "bucket", hot, F.col("node")), "members")
-    pairs = members.where("node <> first").select(F.col("node").alias("x"), F.col("first").alias("c"))
-    links = _links(pairs.distinct(), leads, base, percent, words)
-    used = found.select("bucket", F.col("first").alias("node"))
-    while True:
+    pairs = stage(
+        members.where("node <> first").select(F.col("node").alias("x"), F.col("first").alias("c")).distinct(),
+        "pairs")
+    # For estimates a byte of each minimum is enough; chance agreement is 1 in 256.
+    sig = stage(leads.select("node", "sig").mapInArrow(_short, "node long, sig binary"), "bytes")
+    near = spread_join(
+        pairs.join(sig.withColumnsRenamed({"node": "x", "sig": "sig_x"}), "x"),
+        sig.withColumnsRenamed({"node": "c", "sig": "sig_c"}), "c", _hot(pairs, "c"), F.col("x"))
+    near = near.select("x", "c", "sig_x", "sig_c").mapInArrow(_alike(percent / 100), "x long, c long")
+    links = _links(near, base, percent, words)
+    for few in (FIRST_ASKED, None):
+        # Buckets that are still of several components.
         labels = components(links.select(F.col("x").alias("u"), F.col("c").alias("v")))
-        state = members.select("bucket", "node").join(
-            labels.withColumnRenamed("id", "node"), "node", "left"
-        ).withColumn("component", F.coalesce("component", "node"))
+        state = stage(
+            members.join(labels.withColumnRenamed("id", "node"), "node", "left")
+            .withColumn("component", F.coalesce("component", "node")), "state")
         sizes = state.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         live = stage(sizes.groupBy("bucket").agg(
             F.max_by("component", F.struct("n", "component")).alias("largest"),
-            F.count("*").alias("parts")).where("parts > 1"), "live")
-        state = stage(
-            spread_join(state, live.select("bucket", "largest"), "bucket", hot, F.col("node")), "state")
-        rest = state.where("component <> largest").select("bucket", "node", "component").join(
-            used, ["bucket", "node"], "left_anti")
-        window = Window.partitionBy("bucket").orderBy("node")
-        centres = stage(
-            rest.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= CENTRES).drop("_n"),
-            "centres")
-        if centres.isEmpty():
-            break
-        asked = spread_join(
-            state.select("bucket", "node", "component"),
-            centres.withColumnsRenamed({"node": "other", "component": "part"}), "bucket", hot,
-            F.col("node"),
-        ).where("component <> part").select(
-            F.greatest("node", "other").alias("x"), F.least("node", "other").alias("c"))
-        links = links.unionByName(_links(asked.distinct(), leads, base, percent, words))
-        used = stage(used.unionByName(centres.select("bucket", "node")), "used")
+            F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1").drop("parts"), "live")
+        tiles = F.ceil(F.col("n") / TILE)
+        tiled = spread_join(state, live, "bucket", hot, F.col("node")).withColumn(
+            "tile", F.pmod(F.xxhash64("node"), tiles)).withColumn("asks", F.lit(0))
+        asking = tiled.where("component <> largest").withColumn(
+            "tile", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))).withColumn("asks", F.lit(1))
+        columns = ["bucket", "tile", "node", "component", "asks", "band"]
+        gathered = tiled.select(*columns).unionByName(asking.select(*columns)).join(sig, "node")
+        more = (
+            gathered.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "asks")
+            .select(*columns, "sig").mapInArrow(_across(percent / 100, rows, few), "x long, c long"))
+        links = links.unionByName(_links(more, base, percent, words))
     # From nodes back to ids, together with the copies.
     ids = leads.select("node", "id")
     linked = links.join(ids.withColumnsRenamed({"node": "x", "id": "u"}), "x").join(

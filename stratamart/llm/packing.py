@@ -35,10 +35,11 @@ from stratamart.llm.common import emit, stage
 CAPACITY = 4096
 END = 2
 # Words whose ids a Python worker remembers, and documents it looks up at a time.
-_CACHE = 800_000
+_CACHE = 1_500_000
 _TOGETHER = 32
 # Letters and digits that ASCII punctuation at a word's end is split off from.
 _ENDING = re.compile(r"([0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]+)")
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, place long")
 
@@ -59,20 +60,24 @@ class WordIds(dict):
             self.clear()
             new = words
         # Punctuation after letters is a token of its own in this vocabulary.
-        ends = {w: m.groups() for w in new if (m := _ENDING.fullmatch(w.decode()))}
-        plain = {w.decode().lower() if w.isascii() else w.decode() for w in new if w not in ends}
-        for head, tail in ends.values():
-            plain.update((head.lower() if head.isascii() else head, tail))
-        texts = [t for t in plain if t.encode() not in self]
-        for t, e in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self[t.encode()] = array("I", e.ids).tobytes()
-        for w in new:
-            if w in ends:
-                head, tail = ends[w]
-                head = head.lower() if head.isascii() else head
-                self[w] = self[head.encode()] + self[tail.encode()]
-            elif w not in self:
-                self[w] = self[w.lower()]
+        # bytes.lower() changes A-Z only; the vocabulary is lower case anyway.
+        lowered = {w: w.lower() for w in new}
+        ends = {}
+        for low in set(lowered.values()):
+            if low[-1] in _SIGNS and (m := _ENDING.fullmatch(low.decode())):
+                ends[low] = m[1].encode(), m[2].encode()
+        plain = {low for low in lowered.values() if low not in ends}
+        plain.update(part for both in ends.values() for part in both)
+        words = [w for w in plain if w not in self]
+        texts = [w.decode() for w in words]
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self[w] = array("I", e.ids).tobytes()
+        for w, low in lowered.items():
+            if low in ends:
+                head, tail = ends[low]
+                self[w] = self[head] + self[tail]
+            elif w is not low:
+                self[w] = self[low]
 
 
 def word_ids(tokenizer_file: str) -> WordIds:
@@ -84,13 +89,13 @@ def word_ids(tokenizer_file: str) -> WordIds:
     return held.word_ids
 
 
-def token_bytes(texts: list[str | None], cache: WordIds) -> list[bytes]:
-    """The texts' ids as unsigned 32-bit little-endian numbers.
+def token_bytes(texts: list[bytes | None], cache: WordIds) -> list[bytes]:
+    """The ids of texts in UTF-8 as unsigned 32-bit little-endian numbers.
 
     This vocabulary drops white space, and no token crosses it, so that a text's ids
     are those of its words one after another.
     """
-    words = [(t or "").encode().split() for t in texts]
+    words = [(t or b"").split() for t in texts]
     cache.add(set().union(*words))
     return [b"".join(map(cache.__getitem__, w)) for w in words]
 
@@ -200,7 +205,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     pieces = stage(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
         .mapInArrow(_pieces(tokenizer_file, capacity, end), _PIECE), "pieces")
     # Counts per task and length; a piece's rank is its place after the tasks before.
     counted = stage(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")

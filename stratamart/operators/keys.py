@@ -1,10 +1,9 @@
 """Row numbers over a whole table, ranks in equal parts, and latest row per key.
 
-A global ``row_number`` moves a whole table into one task. Here that happens
-only up to a counted size. Beyond it the rows are range-partitioned on the full
-sort tuple, sorted inside the partitions and written once; a row's number is
-then its place in its partition plus the sizes of the partitions before it.
-Both ways give the same numbers.
+A global ``row_number`` moves a whole table into one task. Here the rows, whatever
+their number, are range-partitioned on the full sort tuple, sorted inside the
+partitions and written once; a row's number is then its place in its partition plus
+the sizes of the partitions before it. The numbers are those of the global window.
 """
 
 from __future__ import annotations
@@ -17,9 +16,7 @@ from pyspark.sql import types as T
 
 from stratamart.staging import stage
 
-# Up to this many rows one task sorts the table.
-ONE_TASK_ROWS = 500_000
-# Rows aimed at per range partition beyond that.
+# Rows aimed at per range partition.
 ROWS_PER_PARTITION = 1_000_000
 # The number of partitions, and with it the broadcast of their sizes, ends here.
 MAX_PARTITIONS = 100_000
@@ -47,12 +44,9 @@ def _staged_with_row(df: DataFrame, label: str) -> DataFrame:
 
 
 def _number_staged(
-    staged: DataFrame, total: int, sort: list[str | Column], name: str, label: str, one_task_rows: int,
+    staged: DataFrame, total: int, sort: list[str | Column], name: str, label: str,
     rows_per_partition: int,
 ) -> DataFrame:
-    if total <= one_task_rows:
-        number = F.row_number().over(Window.orderBy(*sort, _ROW))
-        return staged.withColumn(name, number.cast("long"))
     slots = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MAX_PARTITIONS, max(slots, -(-total // rows_per_partition)))
     placed = stage(
@@ -81,16 +75,13 @@ def number_rows(
     order_by: Sequence[str | Column],
     name: str,
     *,
-    one_task_rows: int = ONE_TASK_ROWS,
     rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Add ``name``: 1..n in the given order, the other columns settling ties."""
     sort = _sort_columns(df, order_by)
     staged = _staged_with_row(df, "numbered")
     total = staged.count()  # answered from the Parquet footers
-    numbered = _number_staged(
-        staged, total, sort, name, "numbered", one_task_rows, rows_per_partition
-    )
+    numbered = _number_staged(staged, total, sort, name, "numbered", rows_per_partition)
     return numbered.select(name, *df.columns)
 
 
@@ -99,7 +90,6 @@ def equal_parts(
     parts: int,
     orders: dict[str, Sequence[str | Column]],
     *,
-    one_task_rows: int = ONE_TASK_ROWS,
     rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Add one tile number (1..parts) per entry of ``orders``, as ``ntile`` would.
@@ -114,18 +104,12 @@ def equal_parts(
     out, done = staged, []
     for name, order_by in orders.items():
         sort = _sort_columns(df, order_by)
-        if total <= one_task_rows:
-            window = Window.orderBy(*sort, _ROW)
-            out = out.withColumn(name, F.ntile(parts).over(window))
-        else:
-            ranked = _number_staged(
-                out, total, sort, "_rank", "tiles", one_task_rows, rows_per_partition
-            )
-            at = F.col("_rank") - 1
-            in_larger = F.floor(at / F.lit(small + 1))
-            in_small = larger + F.floor((at - split) / F.lit(max(small, 1)))
-            tile = F.when(at < split, in_larger).otherwise(in_small) + 1
-            out = ranked.withColumn(name, tile.cast("int")).drop("_rank")
+        ranked = _number_staged(out, total, sort, "_rank", "tiles", rows_per_partition)
+        at = F.col("_rank") - 1
+        in_larger = F.floor(at / F.lit(small + 1))
+        in_small = larger + F.floor((at - split) / F.lit(max(small, 1)))
+        tile = F.when(at < split, in_larger).otherwise(in_small) + 1
+        out = ranked.withColumn(name, tile.cast("int")).drop("_rank")
         done.append(name)
     return out.select(*base, *done)
 

@@ -135,12 +135,12 @@ def customer_segments(fact: DataFrame, customers: DataFrame, **key_options: int)
 def kpi_trend(fact: DataFrame) -> DataFrame:
     """Monthly revenue, orders, customers and average order, with growth on the month before.
 
-    Lines are summed per order before distinct orders and customers are counted. The
-    window runs over one row per month, whatever the size of the fact.
+    Sales without a date are in a row without a month, so the rows sum to the fact; they
+    take no part in growth. Lines are summed per order before distinct orders and customers
+    are counted. The window runs over one row per month, whatever the size of the fact.
     """
     per_order = (
-        fact.where(F.col("order_date").isNotNull())
-        .groupBy(
+        fact.groupBy(
             F.trunc("order_date", "month").alias("month"), "order_number", "customer_key"
         )
         .agg(F.sum("sales_amount").alias("revenue"))
@@ -153,7 +153,7 @@ def kpi_trend(fact: DataFrame) -> DataFrame:
             F.count_distinct("customer_key").alias("customers"),
         )
     )
-    before = F.lag("revenue").over(Window.orderBy("month"))
+    before = F.lag("revenue").over(Window.partitionBy(F.col("month").isNull()).orderBy("month"))
     return monthly.select(
         "month", "revenue", "orders", "customers",
         F.try_divide("revenue", "orders").alias("average_order"),

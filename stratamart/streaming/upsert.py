@@ -78,8 +78,12 @@ def compact(
     sequence: Sequence[str],
     deleted: str | None = None,
 ) -> DataFrame:
-    """Write the current rows as the first batch of a new change table and read it."""
-    current_rows(spark, path, keys, sequence, deleted).write.mode("errorifexists").parquet(
+    """Write the latest rows as the first batch of a new change table; its current rows.
+
+    The new table keeps the rows that mark a deletion: without them a change that is
+    older than the deletion, but arrives later, would bring the key back.
+    """
+    current_rows(spark, path, keys, sequence).write.mode("errorifexists").parquet(
         f"{new_path}/{BATCH}=-1"
     )
-    return spark.read.parquet(new_path).drop(BATCH)
+    return current_rows(spark, new_path, keys, sequence, deleted)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators.keys import equal_parts, latest_per_key, newest_key, number_rows
 
-RANGED = {"one_task_rows": 0, "rows_per_partition": 150}
+RANGED = {"rows_per_partition": 150}
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +37,7 @@ def test_number_rows_equals_a_global_row_number(skewed, options):
 
 def test_number_rows_order_may_be_descending(spark):
     df = spark.createDataFrame([(1,), (3,), (2,)], "a int")
-    for options in ({}, {"one_task_rows": 0, "rows_per_partition": 1}):
+    for options in ({}, {"rows_per_partition": 1}):
         got = number_rows(df, [F.col("a").desc()], "key", **options)
         assert rows(got) == [(1, 3), (2, 2), (3, 1)]
 
@@ -77,7 +77,7 @@ def test_equal_parts_equals_ntile(skewed, options, parts):
 
 def test_equal_parts_with_fewer_rows_than_parts(spark):
     df = spark.createDataFrame([(3,), (1,)], "a int")
-    for options in ({}, {"one_task_rows": 0, "rows_per_partition": 1}):
+    for options in ({}, {"rows_per_partition": 1}):
         assert rows(equal_parts(df, 5, {"t": ["a"]}, **options)) == [(1, 1), (3, 2)]
 
 

@@ -74,13 +74,13 @@ def test_segments_agree_on_both_ways_of_numbering(spark):
         "int(id * 13 % 101) AS sales_amount")
     who = spark.range(37).selectExpr("id AS customer_key", "string(id % 3) AS country")
     one = marts.customer_segments(fact, who)
-    many = marts.customer_segments(fact, who, one_task_rows=0, rows_per_partition=5)
+    many = marts.customer_segments(fact, who, rows_per_partition=5)
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
 
 
 def test_surrogate_keys_run_from_one_to_n_without_gaps(spark):
     lines = spark.read.parquet(f"{TEST_DATA}/lineitem.parquet").select("l_partkey", "l_shipdate")
-    keyed = number_rows(lines, ["l_partkey"], "key", one_task_rows=0, rows_per_partition=500)
+    keyed = number_rows(lines, ["l_partkey"], "key", rows_per_partition=500)
     n = lines.count()
     low, high, distinct = keyed.selectExpr("min(key)", "max(key)", "count(DISTINCT key)").first()
     assert (low, high, distinct) == (1, n, n)

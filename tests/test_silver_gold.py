@@ -115,7 +115,7 @@ EXPECTED_CUSTOMERS = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"one_task_rows": 0, "rows_per_partition": 2}])
+@pytest.mark.parametrize("options", [{}, {"rows_per_partition": 2}])
 def test_dim_customers_keeps_fan_out_and_numbers_from_one(crm, erp, options, no_broadcast):
     out = gold.dim_customers(crm, *erp, **options)
     assert out.columns[0] == "customer_key"

@@ -97,3 +97,14 @@ def test_silver_functions_stream_as_they_are(spark, tmp_path):
     stream = ingest.stream_files(spark, str(tmp_path / "in"), BRONZE_SCHEMAS["erp_loc_a101"])
     assert silver_location(stream).isStreaming
     assert silver_location(stream).withColumn("x", F.lit(1)).columns[-1] == "x"
+
+
+def test_a_deleted_key_stays_gone_after_compaction(spark, tmp_path):
+    log, new = str(tmp_path / "log"), str(tmp_path / "new")
+    kinds = "k string, v string, seq long, gone boolean"
+    spark.createDataFrame([("a", "old", 1, False), ("b", "x", 1, False)], kinds).write.parquet(
+        f"{log}/{upsert.BATCH}=0")
+    spark.createDataFrame([("a", None, 5, True)], kinds).write.parquet(f"{log}/{upsert.BATCH}=1")
+    assert rows(upsert.compact(spark, log, new, ["k"], ["seq"], "gone"), "k") == [("b",)]
+    spark.createDataFrame([("a", "late", 3, False)], kinds).write.parquet(f"{new}/{upsert.BATCH}=2")
+    assert rows(upsert.current_rows(spark, new, ["k"], ["seq"], "gone"), "k") == [("b",)]

@@ -43,7 +43,7 @@ from stratamart.llm.line_dedup import filter_bits, seen_twice, suspected
 LENGTH, GRAM = 50, 20
 # Text bytes that one bucket of anchors stands for, and text that is cut up at a time.
 BUCKET_BYTES = 6_000_000
-TOGETHER = 4_000_000
+TOGETHER = 2_500_000
 # A gram is frequent from this share of the sampled anchors on: at most 65,536 are sent out.
 HOT_SHARE, SAMPLED, LEAST_SEEN = 1 / 65_536, 16, 8
 SALTS, DOCUMENTS_A_SALT = 32, 1_000_000

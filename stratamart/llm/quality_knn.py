@@ -30,7 +30,7 @@ from stratamart.llm.common import emit
 from stratamart.llm.labelled import fold, labelled_sample
 
 # Labelled documents of either label that are broadcast, at most.
-PER_CLASS = 1_250
+PER_CLASS = 800
 PAIRS = 4_096
 # Terms that stand for repeated words, and as many for repeated lines.
 REPEATS = 48
@@ -78,8 +78,8 @@ def fit(counts: np.ndarray, labels: np.ndarray) -> Model:
     if not len(labels):
         return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, base)
     x = _weighed(counts, idf)
-    values, left = np.linalg.eigh((x @ x.T).astype(np.float64))
-    keep = [k for k in np.argsort(-values)[:DIMENSIONS] if values[k] > 1e-8]
+    values, left = np.linalg.eigh(x @ x.T)
+    keep = [k for k in np.argsort(-values)[:DIMENSIONS] if values[k] > 1e-4]
     axes = (x.T @ left[:, keep] / np.sqrt(values[keep])).astype(np.float32)
     return Model(idf, axes, _unit(x @ axes), labels.astype(np.float32), base)
 
@@ -111,8 +111,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, allowed: Column, per_class:
     rows = sample.select("doc_id", "text", "y").select("text", "y").mapInArrow(
         _count_rows, "terms binary, y int").collect()
     rows.sort(key=lambda r: (bytes(r["terms"]), r["y"]))
-    counts = np.array([np.frombuffer(r["terms"], np.uint32) for r in rows]).reshape(len(rows), TERMS)
-    return fit(counts, np.array([r["y"] for r in rows], float))
+    counts = np.frombuffer(b"".join(r["terms"] for r in rows), np.uint32).reshape(len(rows), TERMS)
+    labels = np.array([r["y"] for r in rows], float)
+    del rows
+    return fit(counts, labels)
 
 
 def quality_score(model: Model, spark) -> object:

@@ -42,13 +42,14 @@ from stratamart.llm.labelled import labelled_sample
 
 # Bounds of the training sample: documents of either label, distinct sentences' words of
 # one document (by smallest hash), clean words the machine is fitted on.
-PER_CLASS = 2_500
+PER_CLASS = 1_500
 WORDS_A_DOCUMENT = 3_000
 CLEAN_WORDS = 12_000
 LANDMARKS = 128
 SPAN, DECAY = 5, 0.5
 PIECE, OVERLAP = 40, 8
 _CACHE = 700_000
+_TOGETHER = 10_000  # words whose subsequences are held at a time
 CODES = 64
 OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), 2)]
 _OTHER = re.compile(r"[\W_]+")
@@ -120,26 +121,34 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def decisions(weights: np.ndarray, bias: float, words: list[str]) -> np.ndarray:
-    word, ids, weight = subsequences(words)
-    return np.bincount(word, weight * weights[ids], minlength=len(words)) + bias
+    out = np.full(len(words), bias)
+    for start in range(0, len(words), _TOGETHER):
+        part = words[start:start + _TOGETHER]
+        word, ids, weight = subsequences(part)
+        out[start:start + len(part)] += np.bincount(word, weight * weights[ids], minlength=len(part))
+    return out
 
 
 def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    table = np.zeros((len(landmarks), CODES**3), np.float32)
     word, ids, weight = subsequences(landmarks)
-    table[word, ids] = weight
-    used = np.flatnonzero(table.any(axis=0))
-    place = np.full(CODES**3, -1)
+    used, at = np.unique(ids, return_inverse=True)
+    table = np.zeros((len(used), len(landmarks)), np.float32)
+    table[at, word] = weight
+    place = np.full(CODES**3, -1, np.int32)
     place[used] = np.arange(len(used))
-    table = np.ascontiguousarray(table[:, used].T)
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    for start in range(0, len(words), _TOGETHER):
+        _add_kernel(out[start:start + _TOGETHER], words[start:start + _TOGETHER], table, place)
+    return out
+
+
+def _add_kernel(out: np.ndarray, words: list[str], table: np.ndarray, place: np.ndarray) -> None:
     word, ids, weight = subsequences(words)
     known = place[ids] >= 0
     word, at, weight = word[known], place[ids[known]], weight[known]
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    for start in range(0, len(word), 200_000):
-        part = slice(start, start + 200_000)
+    for start in range(0, len(word), 50_000):
+        part = slice(start, start + 50_000)
         np.add.at(out, word[part], table[at[part]] * weight[part, None].astype(np.float32))
-    return out
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 16) -> tuple[np.ndarray, float]:
@@ -183,15 +192,16 @@ def fit(documents: list[tuple[list[str], int]]) -> Model:
     for u in toxic:
         least = min(xxhash.xxh3_64_intdigest(w) for w in [w for w in u if not in_clean[w]] or u)
         for w in u:
-            apart[w].add(least)
+            if in_toxic[w] > 1:
+                apart[w].add(least)
 
     def telling(word: str) -> tuple:
-        return (len(apart[word]) + 0.1) / (in_clean[word] * rate + 0.5), word
+        return (len(apart.get(word, (0,))) + 0.1) / (in_clean[word] * rate + 0.5), word
 
     def chosen(words: list[str]) -> list[str]:
         value = {w: telling(w)[0] for w in words}
         best = max(value.values())
-        return [w for w in words if value[w] == best or value[w] >= 0.3 * best and len(apart[w]) >= 3]
+        return [w for w in words if value[w] == best or value[w] >= 0.3 * best and len(apart.get(w, ())) >= 3]
 
     witnesses = Counter(w for u in toxic for w in chosen(u))
     everyday = [w for w, _ in in_clean.most_common(2_000)]
@@ -251,7 +261,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, per_class:
     """Fit on at most ``2 * per_class`` labelled documents of those ``allowed``."""
     sample = labelled_sample(docs, labels, "toxic", allowed, per_class)
     rows = sample.select("text", "y").mapInArrow(_training_units, "units string, y int").collect()
-    return fit(sorted((sorted(r["units"].split()), r["y"]) for r in rows))
+    pool: dict[str, str] = {}  # one string for a word, however many documents have it
+    documents = [(sorted(pool.setdefault(u, u) for u in r["units"].split()), r["y"]) for r in rows]
+    del rows
+    return fit(sorted(documents))
 
 
 class _Strength(dict):

@@ -252,6 +252,24 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales written as CSV, columns in another order, some values that do not fit; the rejects."""
+    turn = F.pmod(F.col("l_orderkey"), F.lit(7))
+    count = F.col("l_quantity").cast("long").cast("string")
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.when(turn == 1, F.concat(count, F.lit(".5"))).when(turn == 2, F.lit("n/a"))
+        .otherwise(count).alias("sls_quantity"),
+        F.when(turn == 3, F.lit("3000000000")).otherwise(F.lit("12")).alias("sls_price"),
+        F.when(turn == 4, F.lit("")).otherwise(F.lit("7")).alias("sls_sales"),
+        F.concat(F.lit("SO"), "l_orderkey").alias("sls_ord_num"),
+        F.col("l_partkey").cast("string").alias("sls_prd_key"),
+        *(F.lit("20240101").alias(c) for c in ("sls_due_dt", "sls_ship_dt", "sls_order_dt")),
+        F.lit("1").alias("sls_cust_id"))
+    root, name = new_path(spark, "csv"), "crm_sales_details"
+    _write_csv(lines, f"{root}/{V.SOURCE_FILES[name]}")
+    return csv_files.rejects(csv_files.read_source(spark, root, name, checked=True), name)
+
+
 def catalog_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schemas created, silver tables saved in them, one dropped again, all of it verified."""
     m = Model(spark, sf_dir)
@@ -369,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_gate": _with(lambda m: quality_log.gate_verdict(_gold_log(m))),
     "quality_trend": quality_trend,
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
+    "bronze_rejects": bronze_rejects,
     "catalog_check": catalog_check,
     "mart_revenue_by_country": _with(lambda m: marts.revenue_by_country(
         m.fact, m.dim_customers)),

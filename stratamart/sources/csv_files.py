@@ -24,6 +24,46 @@ def as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
+def read_checked(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV columns found by their header names, cast to ``schema``, with what does not fit kept.
+
+    ``_rejected`` maps a column to its text where that is no value of the column's type, or
+    has a fraction that the type would cut; it is NULL for a clean row. A column that the
+    header lacks is an error. Columns beyond the schema are left out. Empty files, and rows
+    of NULL, have no rejects.
+    """
+    text = spark.read.option("header", "true").csv(path)
+    missing = [f.name for f in schema.fields if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    cells, bad = [], []
+    for field in schema.fields:
+        raw, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, T.StringType):
+            cells.append(raw)
+            continue
+        trimmed = F.trim(raw)
+        value = trimmed.try_cast(kind)
+        if isinstance(kind, T.IntegralType):
+            exact = trimmed.try_cast(T.DecimalType(38, 10))
+            value = F.when(exact == F.floor(exact), exact.try_cast(kind))
+        cells.append(value.alias(field.name))
+        cell = F.struct(F.lit(field.name).alias("column"), raw.alias("value"))
+        bad.append(F.when((trimmed != "") & value.isNull(), cell))
+    found = F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad else F.array()
+    rejected = F.when(F.size(found) > 0, F.map_from_entries(found)) if bad else F.lit(None)
+    return text.select(*cells, rejected.cast("map<string,string>").alias("_rejected"))
+
+
+def rejects(bronze: DataFrame, source: str) -> DataFrame:
+    """Rejected values per column: table_name, column_name, rejected."""
+    return (
+        bronze.select(F.explode("_rejected").alias("column_name", "value"))
+        .groupBy("column_name").agg(F.count("*").alias("rejected"))
+        .select(F.lit(source).alias("table_name"), "column_name", "rejected")
+    )
+
+
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
     """Add when and from where a row came."""
     return df.withColumns({"_ingest_ts": F.current_timestamp(), "_source_table": F.lit(source)})
@@ -31,9 +71,15 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
 
 def read_source(
     spark: SparkSession, root: str, table: str, *, infer: bool = False, lineage: bool = True,
-    text: bool = False,
+    text: bool = False, checked: bool = False,
 ) -> DataFrame:
-    """One source table from its file (or folder of files) under ``root``."""
+    """One source table from its file (or folder of files) under ``root``.
+
+    ``checked`` matches columns by header and adds ``_rejected`` (see ``read_checked``).
+    """
+    if checked:
+        df = read_checked(spark, f"{root}/{V.SOURCE_FILES[table]}", BRONZE_SCHEMAS[table])
+        return with_lineage(df, table) if lineage else df
     schema = None if infer else BRONZE_SCHEMAS[table]
     if text and schema is not None:
         schema = as_text(schema)

@@ -53,6 +53,31 @@ def test_csv_inference_and_text_reading(spark, source):
     assert set(dict(text.dtypes).values()) == {"string"}
 
 
+def test_checked_reading_goes_by_header_and_keeps_what_does_not_fit(spark, tmp_path):
+    path = tmp_path / V.SOURCE_FILES["crm_sales_details"]
+    path.parent.mkdir()
+    path.write_text(
+        "sls_price,sls_ord_num,extra,sls_prd_key,sls_cust_id,sls_order_dt,sls_ship_dt,sls_due_dt,"
+        "sls_sales,sls_quantity\n"
+        "25.50,SO1,x,P1,11,20200105,20200106,20200107,3000000000,abc\n"
+        " 15 ,SO2,x,P1,11,20200105,20200106,20200107,30,2.0\n")
+    df = csv_files.read_source(spark, str(tmp_path), "crm_sales_details", checked=True)
+    bad, good = df.orderBy("sls_ord_num").collect()
+    assert bad._rejected == {"sls_price": "25.50", "sls_sales": "3000000000", "sls_quantity": "abc"}
+    assert bad.sls_price is None and bad.sls_cust_id == 11
+    assert good._rejected is None and (good.sls_price, good.sls_quantity) == (15, 2)
+    assert rows(csv_files.rejects(df, "sales"), "column_name", "rejected") == [
+        ("sls_price", 1), ("sls_quantity", 1), ("sls_sales", 1)]
+
+
+def test_checked_reading_refuses_a_missing_column(spark, tmp_path):
+    path = tmp_path / V.SOURCE_FILES["crm_cust_info"]
+    path.parent.mkdir()
+    path.write_text("cst_id,cst_key\n1,A\n")
+    with pytest.raises(ValueError, match="cst_firstname"):
+        csv_files.read_source(spark, str(tmp_path), "crm_cust_info", checked=True)
+
+
 def test_pipeline_end_to_end(spark, source, tmp_path):
     p = Pipeline(spark, source, prefix="e2e_", location=str(tmp_path / "db"),
                  blocking=frozenset(), as_of=dt.date(2026, 1, 1))

@@ -287,9 +287,10 @@ def near_duplicates(
         sig.withColumnsRenamed({"node": "c", "sig": "sig_c"}), "c", _hot(pairs, "c"), F.col("x"))
     near = near.select("x", "c", "sig_x", "sig_c").mapInArrow(_alike(percent / 100), "x long, c long")
     links = _links(near, base, percent, words)
+    joined = links.select(F.col("x").alias("u"), F.col("c").alias("v"))
     for few in (FIRST_ASKED, None):
         # Buckets that are still of several components.
-        labels = components(links.select(F.col("x").alias("u"), F.col("c").alias("v")))
+        labels = components(joined)
         state = stage(
             members.join(labels.withColumnRenamed("id", "node"), "node", "left")
             .withColumn("component", F.coalesce("component", "node")), "state")
@@ -307,7 +308,9 @@ def near_duplicates(
         more = (
             gathered.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "asks")
             .select(*columns, "sig").mapInArrow(_across(percent / 100, rows, few), "x long, c long"))
-        links = links.unionByName(_links(more, base, percent, words))
+        added = _links(more, base, percent, words)
+        joined = labels.toDF("u", "v").unionByName(added.toDF("u", "v"))
+        links = links.unionByName(added)
     # From nodes back to ids, together with the copies.
     ids = leads.select("node", "id")
     linked = links.join(ids.withColumnsRenamed({"node": "x", "id": "u"}), "x").join(

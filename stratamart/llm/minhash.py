@@ -148,8 +148,9 @@ def _best(agree: np.ndarray, part: np.ndarray, few: int) -> np.ndarray:
 def _across(threshold: float, rows: int, few: int | None):
     """Alike pairs of different components, from tiles sorted with their targets first.
 
-    A pair leaves the first band in which the two agree. With ``few``, a member asks about
-    its most alike members of each component only.
+    With ``few``, a member asks about its most alike members of each component only, and a
+    pair leaves the first band in which its bytes agree. Bytes may agree by chance where the
+    full minima do not, so without ``few`` a pair leaves every band it shares.
     """
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +179,9 @@ def _across(threshold: float, rows: int, few: int | None):
                         same = known == sig[i]
                         agree = same.mean(axis=1)
                         near = np.flatnonzero((agree >= least) & (of != part[i]))
-                        before = same[near, :band[i] * rows].reshape(len(near), int(band[i]), rows)
-                        near = near[~before.all(axis=2).any(axis=1)]
+                        if few:
+                            before = same[near, :band[i] * rows].reshape(len(near), int(band[i]), rows)
+                            near = near[~before.all(axis=2).any(axis=1)]
                         if few and len(near) > few:
                             near = near[_best(agree[near], of[near], few)]
                         found.append(np.stack([

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +18,10 @@ HOT_SHARE = 1 / 64
 SALTS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["HOT_SHARE", "SALTS", "WORD", "emit", "hot_keys", "partitions", "spread_join", "stage", "table"]
+__all__ = [
+    "HOT_SHARE", "SALTS", "WORD", "emit", "hot_keys", "partitions", "spread_join", "stage", "table",
+    "worker_memory",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +32,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def worker_memory(key: Hashable, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task under ``key``; made when it is not there.
+
+    Functions reach the workers by value, with globals of their own for every task, so
+    it is held in a module of the worker. A new worker makes it again.
+    """
+    module = sys.modules.setdefault("_stratamart_memory", types.ModuleType("_stratamart_memory"))
+    if key not in module.__dict__:
+        module.__dict__[key] = make()
+    return module.__dict__[key]
+
+
 def hot_keys(counts: DataFrame, key: str, n: str = "n", share: float = HOT_SHARE) -> list:
     """Keys with at least ``share`` of all rows, from one row per key and its count.
 

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm import (
-    line_dedup, minhash, mixing, nearest, packing, quality_knn, quality_rules, substring_dedup,
-    toxicity, url_filter,
+    config_packing, line_dedup, minhash, mixing, nearest, packing, quality_knn, quality_rules,
+    substring_dedup, toxicity, turn_repair, url_filter, vector_codes,
 )
 from stratamart.llm.common import table
 from stratamart.llm.labelled import fold
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 URL_RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
     ("block", "net/es/"), ("block", "net/fr/"),
@@ -77,6 +78,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config_packing.pack_few(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -88,4 +101,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_nearest": op9_nearest,
     "op10_minhash": op10_minhash,
+    "op11_config_packing": op11_config_packing,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_turn_repair": op13_turn_repair,
 }

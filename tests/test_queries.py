@@ -4,7 +4,8 @@ import pytest
 from conftest import TEST_DATA, planned
 
 import __spark_entry__ as entry_points
-from catalogue.queries import Model
+from catalogue.oracle import ORACLE_SQL
+from catalogue.queries import QUERIES, Model
 from check_oracle import compare, oracle_connection
 from stratamart.operators import joins
 from stratamart.operators.keys import number_rows
@@ -18,10 +19,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE_SQL) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     assert compare(spark, duck, name, TEST_DATA) == ""
 
@@ -99,5 +102,6 @@ def everything_is_hot(monkeypatch, no_broadcast):
 
 @pytest.mark.parametrize("name", ["gold_dim_customers", "gold_dim_products", "gold_fact_sales"])
 def test_the_model_is_the_same_with_every_lookup_salted(spark, duck, name, everything_is_hot):
-    assert "_salt" in planned(entry_points.queries()[name](spark, TEST_DATA)) or "dim" in name
+    if name == "gold_fact_sales":  # dimensions are staged with their numbers; see test_joins
+        assert "_salt" in planned(entry_points.queries()[name](spark, TEST_DATA))
     assert compare(spark, duck, name, TEST_DATA) == ""

@@ -9,12 +9,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue import feeds
 from catalogue.raw_views import RAW_VIEWS, raw_table, sales_lines
 from stratamart import fixed_values as V
 from stratamart.operators import checks, gold, quality_log, scoring
 from stratamart.operators.keys import latest_per_key, number_rows
 from stratamart.operators.silver import SILVER_BUILDERS, silver_demographics, silver_sales
+from stratamart.operators.registry import KeyRegistry
 from stratamart.plans import marts
+from stratamart.plans.incremental import IncrementalGold
 from stratamart.schemas import BRONZE_SCHEMAS, LOG_SCHEMA
 from stratamart.sources import csv_files, tables
 from stratamart.staging import new_path, stage
@@ -334,6 +337,29 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("user_id", "event_id", "event_type", "value")
 
 
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after three batches of changes, some of them late or deletions."""
+    m = Model(spark, sf_dir)
+    model = IncrementalGold(
+        spark, new_path(spark, "gold"), m.silver("erp_cust_az12"), m.silver("erp_loc_a101"),
+        m.silver("erp_px_cat_g1v2"), sales_keys=["order_number", "line_id"], buckets=8)
+    batches = zip(feeds.customer_batches(m.read), feeds.product_batches(m.read), feeds.sales_batches(m.read))
+    for number, (customers, products, sales) in enumerate(batches):
+        model.apply(number, customers=customers, products=products, sales=sales)
+    return model.fact_sales()
+
+
+def stable_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders' customers and dates registered in two batches: old keys stay, new ones follow."""
+    orders = _table(spark, sf_dir, "orders").select(
+        F.expr("CASE WHEN o_custkey % 31 <> 5 THEN o_custkey END").alias("customer"),
+        F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"), "o_orderkey")
+    registry = KeyRegistry(spark, new_path(spark, "keys"), ["customer", "month"], "visit_key")
+    registry.assign(orders.where("o_orderkey % 10 <> 1"), 0)
+    registry.assign(orders, 1)
+    return registry.keys(orders)
+
+
 def _with(make: Callable[[Model], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: make(Model(spark, sf_dir))
 
@@ -401,4 +427,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_kpi_trend": _with(lambda m: marts.kpi_trend(m.fact)),
     "stream_bronze_sales": stream_bronze_sales,
     "incremental_upsert": incremental_upsert,
+    "incremental_gold": incremental_gold,
+    "stable_surrogate_keys": stable_surrogate_keys,
 }

@@ -53,8 +53,8 @@ def crm_prd_info(read: Read) -> DataFrame:
     )
 
 
-def sales_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Works on a stream of line items as well."""
+def sales_lines(lineitem: DataFrame, orders: DataFrame, *extra: str) -> DataFrame:
+    """Works on a stream of line items as well. ``extra`` are further columns."""
     ordered = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     df = lineitem.join(ordered, lineitem["l_orderkey"] == ordered["o_orderkey"])
     return df.selectExpr(
@@ -74,6 +74,7 @@ def sales_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "CASE WHEN l_orderkey % 97 = 4 THEN 0 ELSE int(l_quantity) END AS sls_quantity",
         "CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN -5 "
         "ELSE int(floor(l_extendedprice / l_quantity)) END AS sls_price",
+        *extra,
     )
 
 
@@ -124,8 +125,11 @@ RAW_VIEWS = {
 
 def raw_table(read: Read, name: str) -> DataFrame:
     """A raw view in the column types of its bronze table."""
-    view = RAW_VIEWS[name](read)
+    return typed(RAW_VIEWS[name](read), name)
+
+
+def typed(view: DataFrame, name: str, *extra: str) -> DataFrame:
     return view.selectExpr(*[
         f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in BRONZE_SCHEMAS[name].fields
-    ])
+    ], *extra)

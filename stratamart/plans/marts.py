@@ -106,7 +106,7 @@ def top_products_by_category(fact: DataFrame, products: DataFrame, n: int = 5) -
     return ranked.where(F.col("rank") <= n)
 
 
-def customer_segments(fact: DataFrame, customers: DataFrame, **key_options: int) -> DataFrame:
+def customer_segments(fact: DataFrame, customers: DataFrame, **part_options: int) -> DataFrame:
     """Recency, frequency and value fifths (5 is best), a tier and a segment per customer."""
     who = customers.select(F.col("customer_key").alias("_key"), "country")
     totals = customer_totals(fact).join(
@@ -119,7 +119,7 @@ def customer_segments(fact: DataFrame, customers: DataFrame, **key_options: int)
             "frequency": ["orders", "customer_key"],
             "value": ["revenue", "customer_key"],
         },
-        **key_options,
+        **part_options,
     )
     r, f, m = F.col("recency"), F.col("frequency"), F.col("value")
     return scored.withColumns({

@@ -3,6 +3,7 @@ import shutil
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratamart.operators import gold
@@ -102,8 +103,11 @@ def test_an_attempt_that_broke_off_is_mended(spark, table, replaced, monkeypatch
 
 
 def test_replace_refuses_rows_of_other_partitions(spark, table):
-    with pytest.raises(ValueError):
+    merge(spark, table, *FIRST)
+    before = files(table.path)
+    with pytest.raises(PySparkException, match="not to be replaced"):
         table.replace(table_rows(spark, *FIRST), ["2024-01"])
+    assert files(table.path) == before
 
 
 # --- keys that stay -----------------------------------------------------------

@@ -6,7 +6,11 @@ from conftest import final_plan, planned, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratamart.operators.keys import equal_parts, latest_per_key, newest_key, number_rows
+from stratamart.operators import keys
+from stratamart.operators.keys import (
+    equal_parts, latest_per_key, newest_key, number_rows, places_at,
+)
+from stratamart.staging import stage
 
 RANGED = {"rows_per_partition": 150}
 
@@ -60,7 +64,7 @@ def test_ranged_numbering_spreads_a_hot_value_and_gathers_no_rows(skewed):
     assert max(sizes) < 3 * 150  # a third of the rows is 1000
 
 
-@pytest.mark.parametrize("options", [{}, RANGED])
+@pytest.mark.parametrize("options", [{}, {"few": 40}])
 @pytest.mark.parametrize("parts", [5, 7])
 def test_equal_parts_equals_ntile(skewed, options, parts):
     df = skewed.distinct()
@@ -77,8 +81,41 @@ def test_equal_parts_equals_ntile(skewed, options, parts):
 
 def test_equal_parts_with_fewer_rows_than_parts(spark):
     df = spark.createDataFrame([(3,), (1,)], "a int")
-    for options in ({}, {"rows_per_partition": 1}):
+    for options in ({}, {"few": 1}):
         assert rows(equal_parts(df, 5, {"t": ["a"]}, **options)) == [(1, 1), (3, 2)]
+    assert equal_parts(df.where("a > 5"), 5, {"t": ["a"]}).count() == 0
+
+
+def test_equal_parts_of_copies_and_other_types(spark):
+    """A third of the rows are one row; dates, times, decimals, blanks and nulls are ordered."""
+    df = spark.range(900).selectExpr(
+        "if(id % 3 = 0, 7, id % 50) AS a", "if(id % 3 = 0, NULL, timestamp_seconds(id * 7919)) AS t",
+        "if(id % 3 = 0, 1.5BD, cast(id AS decimal(10, 2)) / 7) AS d", "array(id % 2) AS list")
+    got = equal_parts(df, 4, {"x": ["t"], "y": ["d", "a"]}, few=30)
+    for tile in ("x", "y"):
+        assert rows(got.groupBy(tile).count()) == [(i, 225) for i in range(1, 5)]
+    ends = got.groupBy("x").agg(F.min("t"), F.max("t")).orderBy("x").collect()
+    assert ends[0][2] is None and all(a[2] <= b[1] for a, b in zip(ends[1:], ends[2:]))
+
+
+def test_equal_parts_writes_once_and_shuffles_no_rows(skewed, monkeypatch):
+    staged = []
+    monkeypatch.setattr(keys, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    got = equal_parts(skewed, 5, {"x": ["a"], "y": ["c"], "z": ["b"]}, few=100)
+    assert staged == ["tiles"] and "Exchange" not in planned(got)
+
+
+def test_equal_parts_takes_names_only(skewed):
+    with pytest.raises(TypeError):
+        equal_parts(skewed, 5, {"x": [F.col("a").desc()]})
+
+
+@pytest.mark.parametrize("few", [1, 10, 5_000])
+def test_places_at_ranks(spark, few):
+    places = spark.range(2_000).selectExpr("struct(id * 7919 % 2003 AS a, id AS b) AS place")
+    values = sorted(r[0] for r in places.collect())
+    ranks = [0, 1, 999, 1_000, 1_999, 2_000, -1]
+    assert places_at(places, ranks, few, 5) == {r: values[r] for r in ranks[:5]}
 
 
 def test_latest_per_key_settles_ties_and_takes_null_keys(spark):

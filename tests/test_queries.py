@@ -70,14 +70,14 @@ def test_top_products_per_category_prunes_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in planned(marts.top_products(fact, names))
 
 
-def test_segments_agree_on_both_ways_of_numbering(spark):
+def test_segments_agree_on_both_ways_of_selection(spark):
     fact = spark.range(500).selectExpr(
         "string(id) AS order_number", "id % 37 AS customer_key",
         "date_add(DATE '2020-01-01', int(id * 7 % 300)) AS order_date",
         "int(id * 13 % 101) AS sales_amount")
     who = spark.range(37).selectExpr("id AS customer_key", "string(id % 3) AS country")
     one = marts.customer_segments(fact, who)
-    many = marts.customer_segments(fact, who, rows_per_partition=5)
+    many = marts.customer_segments(fact, who, few=5)
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
 
 

@@ -273,6 +273,22 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_files.rejects(csv_files.read_source(spark, root, name, checked=True), name)
 
 
+def counted_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver saved with their rows counted in the writes; reconciled from the counts."""
+    m = Model(spark, sf_dir)
+    prefix = f"cnt_{uuid.uuid4().hex[:12]}_"
+    tables.create_schemas(spark, prefix=prefix, location=new_path(spark, "tables"))
+    counts = {}
+    for name in RAW_VIEWS:
+        bronze, silver = f"{prefix}bronze.{name}", f"{prefix}silver.{V.SILVER_TABLES[name]}"
+        written = tables.save_counted(m.bronze(name), bronze)
+        build = SILVER_BUILDERS[name]
+        options = {"as_of": AS_OF} if build is silver_demographics else {}
+        cleaned = build(tables.read_table(spark, bronze), **options)
+        counts[name] = checks.known_counts(spark, written, tables.save_counted(cleaned, silver))
+    return checks.reconciliation_of(counts)
+
+
 def catalog_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schemas created, silver tables saved in them, one dropped again, all of it verified."""
     m = Model(spark, sf_dir)
@@ -415,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
     "bronze_rejects": bronze_rejects,
     "catalog_check": catalog_check,
+    "counted_writes": counted_writes,
     "mart_revenue_by_country": _with(lambda m: marts.revenue_by_country(
         m.fact, m.dim_customers)),
     "mart_revenue_by_region": _with(lambda m: marts.revenue_by_region(m.fact, m.dim_customers)),

@@ -48,6 +48,23 @@ def log_row(
     return score.selectExpr(*columns)
 
 
+def verdict_rows(
+    check: DataFrame, layer: str, *, pipeline: str = PIPELINE_NAME,
+    run_timestamp: str = "current_timestamp()",
+) -> DataFrame:
+    """Rows of any check in one form: what was checked, the verdict, and all measures as JSON."""
+    columns = set(check.columns)
+    named = F.col("check_name") if "check_name" in columns else F.lit(None)
+    table = F.col("table_name") if "table_name" in columns else F.lit(None)
+    return check.select(
+        F.expr(run_timestamp).cast("timestamp").alias("run_timestamp"),
+        F.lit(pipeline).alias("pipeline_name"), F.lit(layer).alias("layer"),
+        named.cast("string").alias("check_name"), table.cast("string").alias("table_name"),
+        F.col("status").cast("string").alias("status"),
+        F.to_json(F.struct(*check.columns)).alias("measures"),
+    )
+
+
 def append_log(rows: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Append log rows; a failure is raised, not swallowed."""
     rows.write.mode("append").format(fmt).saveAsTable(table)

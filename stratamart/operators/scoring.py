@@ -100,9 +100,14 @@ def bronze_erp_score(cust_ids: DataFrame, locations: DataFrame, categories: Data
 
 def silver_score(bronze: DataFrame, silver: DataFrame, table: str) -> DataFrame:
     """100 when every bronze row is in silver, else 85."""
+    return silver_score_of(table_counts(bronze, silver), table)
+
+
+def silver_score_of(counts: DataFrame, table: str) -> DataFrame:
+    """The same from one row of ``bronze_count`` and ``silver_count``."""
     b, s = F.col("bronze_count"), F.col("silver_count")
     _, summary = V.SILVER_TASKS[table]
-    scored = table_counts(bronze, silver).select(
+    scored = counts.select(
         s.alias("total_records"),
         (b == s).alias("record_count_pass"),
         F.coalesce(F.try_divide(s * 100.0, b), F.lit(0.0)).alias("completeness_pct"),

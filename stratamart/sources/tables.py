@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart import fixed_values as V
@@ -64,6 +64,17 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def save_counted(df: DataFrame, name: str, **options) -> int:
+    """``save_table``, and the number of rows written, counted in the same job.
+
+    The count is observed on the rows as they are written, in the write's own tasks. Spark
+    takes the count of each of these once: what a repeated task counted again is left out.
+    """
+    seen = Observation()
+    save_table(df.observe(seen, F.count(F.lit(1)).alias("row_count")), name, **options)
+    return seen.get["row_count"]
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -152,3 +152,28 @@ def test_a_cluster_without_shared_folder_is_refused(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    tables.create_schemas(spark, {"counted": "x"}, location=str(tmp_path))
+    df = spark.range(1_000).withColumn("k", F.col("id") % 7)
+    wide = df.join(df.groupBy("k").count(), "k")  # observed above a shuffle
+    assert tables.save_counted(wide, "counted.wide") == 1_000
+    assert tables.save_counted(df.where("id < 0"), "counted.nothing") == 0
+    assert tables.save_counted(df, "counted.parted", partition_by=["k"]) == spark.table("counted.parted").count()
+    spark.sql("DROP DATABASE counted CASCADE")
+
+
+def test_a_run_writes_the_verdicts_of_all_layers(spark, source, tmp_path):
+    run = Pipeline(
+        spark, source, prefix="checked_", location=str(tmp_path / "tables"), blocking=frozenset())
+    run.run()
+    found = spark.table(run.checks_table)
+    assert rows(found.select("layer").distinct()) == [("BRONZE",), ("GOLD",), ("SILVER",)]
+    assert found.where("status IS NULL OR measures IS NULL OR check_name IS NULL").count() == 0
+    for (layer, table), n in run.counts.items():
+        assert n == run.table(layer, table).count()
+    read = found.where("layer = 'SILVER'").selectExpr(
+        "table_name", "get_json_object(measures, '$.bronze_count') AS b", "get_json_object(measures, '$.silver_count') AS s")
+    want = {(V.SILVER_TABLES[t], str(run.counts["bronze", t])) for t in V.SOURCE_FILES}
+    assert want <= {(r.table_name, r.b) for r in read.collect()}

@@ -23,6 +23,7 @@ import bisect
 import os
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -49,7 +50,7 @@ TABLES = 16
 SPREAD = 0.002
 SEED = 11
 # Word pieces whose ids a Python worker remembers, and documents it looks up at a time.
-_REMEMBERED = 700_000
+_REMEMBERED = 1_500_000
 _TOGETHER = 32
 # Byte-level tokens cross neither the end of a word nor, where ASCII follows, that of a
 # run of Latin letters; a white-space run belongs to what follows it.
@@ -72,7 +73,7 @@ class TextIds:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def of(self, texts: list[str]) -> list[bytes]:
         cut = [[t] if _UNLIKE.search(t) else _CUT.findall(t) for t in texts]

@@ -232,13 +232,15 @@ def drop_repeated_lines(
         F.collect_set("key").alias("_keys"),
         F.collect_set(F.when(F.col("own") & F.lit(keep_first), F.col("key"))).alias("_own"),
     ).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    joined = docs.withColumn("_text_mark", mark).join(
-        drops.hint("shuffle_hash"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_mark") == F.col("_mark")),
-        "left",
-    )
-    done = joined.withColumn("_out", F.pandas_udf(_without, _KEPT)("text", "_keys", "_own"))
-    keep = [F.col("_out.kept").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    # The caller's columns travel in a struct, where their names meet no others.
+    held = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
+        F.col("doc_id").cast("long").alias("_doc_id"), mark.alias("_text_mark"))
+    joined = held.join(
+        drops, F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_mark") == F.col("_mark")), "left")
+    done = joined.withColumn("_out", F.pandas_udf(_without, _KEPT)("_doc.text", "_keys", "_own"))
+    keep = [F.col("_out.kept").alias("text") if c == "text" else F.col("_doc").getField(c).alias(c)
+            for c in docs.columns]
     return done.select(
         *keep, F.col("_out.n_lines").alias("_n_lines"), F.col("_out.n_dropped").alias("_n_dropped")
     )

@@ -380,7 +380,7 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     likely = docs.withColumn("_word", word).join(F.broadcast(bits), "_word").where(
         F.col("_bits").bitwiseAND(mask) != 0)
     return stage(
-        likely.select("node", "text").join(wanted.hint("shuffle_hash"), "node", "left_semi")
+        likely.select("node", "text").join(wanted, "node", "left_semi")
         .dropDuplicates(["node"]), "texts")
 
 
@@ -422,6 +422,29 @@ def _tiled(cells: DataFrame) -> DataFrame:
     return cells.repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "asks")
 
 
+def one_of_each(docs: DataFrame, *, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without those whose group of near duplicates has an earlier row.
+
+    Every row is a document of its own here, also where ids are null or shared by different
+    texts. The row with the smallest doc_id stays (nulls last; among equal ids the first one
+    written). Rows without words all stay. Columns may have any names.
+    """
+    numbered = stage(
+        docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+        .withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(
+        numbered.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), percent=percent)
+    groups = stage(found.where("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id").join(
+        numbered.select("row", F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", "row").alias("place")),
+        "row"), "groups")
+    # Groups of one row need no join.
+    several = groups.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    several = stage(several, "several")
+    dropped = spread_join(groups, several, "component_id", hot_keys(several, "component_id"), F.col("row")).where(
+        "place <> first").select("row")
+    return numbered.join(dropped, "row", "left_anti").select("doc.*")
+
+
 def near_duplicates(
     docs: DataFrame, *, percent: int = 80, words: int = WORDS, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:

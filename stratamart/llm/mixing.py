@@ -179,3 +179,35 @@ def mix(
         (F.col("copies") * F.col("size") + F.round(part * F.col("size"))).cast("long").alias("taken"),
         "copies",
     )
+
+
+def land_whole(mixed: DataFrame) -> DataFrame:
+    """Rows (row, copies) of ``mix`` with its at most two undecided documents of a source
+    taken once more whole, or not, whichever of the four ways comes nearest to the target.
+
+    Ties go to the fewer, then to the smaller row. Rows with no copy are left out.
+    """
+    part = F.col("taken") - F.col("copies") * F.col("size")
+    open_ = mixed.select("row", "source", "size", part.alias("part")).where("part > 0")
+    pairs = open_.groupBy("source").agg(
+        F.array_sort(F.collect_list(F.struct("row", "size"))).alias("held"), F.sum("part").alias("want"))
+    one, two = F.col("held")[0]["size"], F.coalesce(F.try_element_at("held", F.lit(2))["size"], F.lit(1 << 62))
+    ways = [(0, F.lit(0)), (1, one), (1, two), (2, one + two)]
+    gaps = F.array(*(
+        F.struct(F.abs(F.col("want") - taken).alias("gap"), F.lit(n).alias("n"), F.lit(k).alias("way"))
+        for k, (n, taken) in enumerate(ways)))
+    way = F.array_min(gaps)["way"]
+    more = pairs.withColumn("way", way).select("way", F.posexplode("held").alias("at", "unit")).where(
+        "way = 3 OR way = at + 1").select(F.col("unit.row").alias("row"), F.lit(1).alias("more"))
+    return mixed.join(more, "row", "left").select(
+        "row", (F.col("copies") + F.coalesce("more", F.lit(0))).alias("copies")).where("copies > 0")
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, each whole. Columns may have any names."""
+    numbered = stage(
+        docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+        .withColumn("row", F.monotonically_increasing_id()), "numbered")
+    times = land_whole(stage(mix(numbered.select("row", "doc.doc_id", "doc.source", "doc.text"), row="row"), "mixed"))
+    return numbered.join(times, "row").withColumn(
+        "turn", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("doc.*")

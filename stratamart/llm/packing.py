@@ -1,14 +1,15 @@
 """Sequence packing by shortest-pack-first over the length histogram.
 
 Documents become token ids with an end id each; documents over the capacity are cut
-into full pieces and a rest. Lengths are placed longest first: each into the fullest
-pack that still has room (the one with the shortest room left), many packs of one
+into full pieces and a rest. Lengths are placed longest first: each into the shortest pack (the
+one with the most room), or into a new one where it does not fit there, many packs of one
 pattern at a time, so the work follows the number of lengths and not of documents.
 The patterns are joined back to the pieces by rank: piece number r of its length goes
 to the pattern slot that holds rank r.
 
 A null or empty text is its end id alone. Repeated rows and null ids are documents of
-their own. Only doc_id and text are read.
+their own. The tokenizer's special tokens, written out in a text, are their own ids. No
+documents give no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def add(self, words: set[bytes]) -> None:
         new = {w for w in words if w not in self}
@@ -61,7 +62,10 @@ class WordIds(dict):
             new = words
         # Punctuation after letters is a token of its own in this vocabulary.
         # bytes.lower() changes A-Z only; the vocabulary is lower case anyway.
+        # Special tokens are found in words as written.
         lowered = {w: w.lower() for w in new}
+        for w in [w for w, low in lowered.items() if any(s in low for s in self.special)]:
+            lowered[w] = w
         ends = {}
         for low in set(lowered.values()):
             if low[-1] in _SIGNS and (m := _ENDING.fullmatch(low.decode())):
@@ -130,7 +134,7 @@ def _pieces(tokenizer_file: str, capacity: int, end: int):
 def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[tuple[int, int]], int]]:
     """Patterns and how many sequences have each: [([(length, times), ...], count)].
 
-    Lengths longest first; each into the pattern with the shortest room that fits.
+    Lengths longest first; each into the shortest pack, where it fits, or a new one.
     """
     rooms: dict[int, list[list]] = defaultdict(list)  # room left: [pattern, count]
     left_rooms: list[int] = []
@@ -143,23 +147,21 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[tup
     for length in sorted((k for k, n in counts.items() if n > 0), reverse=True):
         left = counts[length]
         while left:
-            at = bisect.bisect_left(left_rooms, length)
-            if at == len(left_rooms):  # no pack has room: new packs, as full as they get
+            if not left_rooms or left_rooms[-1] < length:  # new packs, as full as this length gets them
                 times = min(left, capacity // length)
                 packs = left // times
                 put(((length, times),), capacity - length * times, packs)
                 left -= packs * times
                 continue
-            room = left_rooms[at]
+            room = left_rooms[-1]
             pattern, count = rooms[room].pop()
             if not rooms[room]:
-                left_rooms.pop(at)
-            times = min(room // length, left)
-            packs = min(count, left // times)
+                left_rooms.pop()
+            packs = min(count, left)  # one each: a pack that got one is no longer the shortest
             if packs < count:
                 put(pattern, room, count - packs)
-            put(pattern + ((length, times),), room - length * times, packs)
-            left -= packs * times
+            put(pattern + ((length, 1),), room - length, packs)
+            left -= packs
     return [(list(p), n) for _, held in sorted(rooms.items()) for p, n in held]
 
 

@@ -3,7 +3,8 @@
 A language's references are two histograms over all its documents: character classes, and
 its most frequent words with one bin for all other words. A document is compared with its
 own language's references, or, where it has none, with the nearest ones, by Jensen-Shannon
-distance (base 2, 0 to 1). Guards: documents under ``LEAST_WORDS`` words are not judged by
+distance (base 2, 0 to 1). A text without any common word is as far from the word reference as
+any can be; the limit is a share of that distance. Guards: documents under ``LEAST_WORDS`` words are not judged by
 words, as short texts diverge by chance, and the expected chance divergence is taken off.
 
 Base rules stand before that: too few words, or too many words in repeated three-word
@@ -28,7 +29,10 @@ COMMON_WORDS = 48
 # Languages with references: those with the most words, at most so many.
 MOST_LANGUAGES = 256
 LEAST_WORDS = 100
-CLASS_LIMIT, WORD_LIMIT = 0.30, 0.50
+CLASS_LIMIT = 0.30
+# Words are too far from a reference at this share of the distance of a text without any of
+# the language's common words, where these make up at least ``COMMON_SHARE`` of the language.
+WORD_SHARE, COMMON_SHARE = 0.65, 0.10
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("continuation", "space", "lower", "upper", "digit", "symbol", "punctuation", "other", "control")
@@ -113,7 +117,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def references(docs: DataFrame) -> dict[str, tuple[dict[bytes, int], np.ndarray, np.ndarray]]:
-    """Language: places of its common words, word histogram, class histogram.
+    """Language: places of its common words, word and class histograms, limit of words.
 
     Counts cover all documents; what comes to the driver is at most ``MOST_LANGUAGES``
     languages of ``COMMON_WORDS`` words and one row a class.
@@ -140,13 +144,22 @@ def references(docs: DataFrame) -> dict[str, tuple[dict[bytes, int], np.ndarray,
     for lang, total in sorted(kept.items()):
         held = words[lang]
         histogram = np.array([n for _, n in held] + [total - sum(n for _, n in held)], float)
-        out[lang] = ({w: i for i, (w, _) in enumerate(held)}, histogram, classes[lang][1:])
+        out[lang] = ({w: i for i, (w, _) in enumerate(held)}, histogram, classes[lang][1:], word_limit(histogram))
     return out
 
 
+def word_limit(histogram: np.ndarray) -> float:
+    """Longest word distance that passes; the last bin is that of all other words."""
+    if histogram[:-1].sum() < COMMON_SHARE * histogram.sum():
+        return 1.0
+    none = np.zeros(len(histogram))
+    none[-1] = 1
+    return WORD_SHARE * _distance(none, histogram) ** 0.5
+
+
 def divergence(words: list[bytes], classes: np.ndarray, reference) -> tuple[float, float]:
     """Distances from a reference: of character classes, and of words less chance."""
-    places, histogram, reference_classes = reference
+    places, histogram, reference_classes, _ = reference
     own = np.zeros(len(histogram))
     for word in words:
         own[places.get(word, -1)] += 1
@@ -161,13 +174,13 @@ def judged(refs: dict, lang: str | None, text: str | None, table: np.ndarray) ->
     metrics = base_metrics(raw, words, classes)
     n, repeated = metrics[0], metrics[4]
     failed = n < FEWEST_WORDS or 100 * repeated > MOST_REPEATED * n
-    far = (0.0, 0.0)
+    far, limit = (0.0, 0.0), 1.0
     if n and refs:
         lowered = raw.lower().split()
         own = refs.get(lang)
         near = [own] if own else refs.values()
-        far = min((divergence(lowered, classes, r) for r in near), key=sum)
-    kept = not failed and far[0] <= CLASS_LIMIT and (n < LEAST_WORDS or far[1] <= WORD_LIMIT)
+        far, limit = min(((divergence(lowered, classes, r), r[3]) for r in near), key=lambda x: sum(x[0]))
+    kept = not failed and far[0] <= CLASS_LIMIT and (n < LEAST_WORDS or far[1] <= limit)
     return (*metrics, failed, kept, *far)
 
 

@@ -4,7 +4,9 @@ A url's host and path are judged by the longest rule that fits. Hosts of pages t
 allow are trusted seeds, hosts of pages they block are blocked seeds, each by the share of
 its pages. Trust spreads by personalised PageRank along links between hosts, distrust along
 reversed links: a host that links to distrusted hosts is distrusted itself. Pages without a
-rule get their host's verdict: blocked where distrust exceeds trust by the threshold.
+rule get their host's verdict: blocked where its own blocked pages exceed its allowed ones by
+the threshold, or where the distrust that came by links is at least the threshold's share of
+it and the host's trust. That share does not depend on how many hosts link to a blocked one.
 
 Values are scaled so that a host all of whose pages are seeds has 1 before any link. A host
 without seeds and links has 0 and is allowed. Links are absolute ``href`` targets; relative
@@ -29,7 +31,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _HREF = r"(?i)href\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s>]+)"
 DAMPING = 0.85
-ROUNDS = 25
 CLOSE = 1e-6
 THRESHOLD = 0.5
 
@@ -64,26 +65,31 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy(F.col("host").alias("src"), "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust) from edges (src, dst, n) and seeds (host, good, bad).
 
     One table of both walks: a step's share is its links over all links of where it
-    starts. Rounds end when no value moves by more than ``CLOSE``.
+    starts. A host passes distrust on only as far as it is not trusted itself (one minus its
+    good share), so that links to a trusted host spoil nothing. Rounds end when no value moves by more than ``CLOSE``; ``damping`` makes every
+    round's moves smaller.
     """
     forward = edges.select(F.concat(F.lit("t:"), "src").alias("at"), F.concat(F.lit("t:"), "dst").alias("to"), "n")
     back = edges.select(F.concat(F.lit("d:"), "dst").alias("at"), F.concat(F.lit("d:"), "src").alias("to"), "n")
     steps = forward.unionByName(back)
-    starts = stage(steps.groupBy("at").agg(F.sum("n").alias("all"), F.count("*").alias("rows")), "starts")
+    counted = steps.groupBy("at").agg(F.sum("n").alias("all"), F.count("*").alias("rows"))
+    passes = seeds.select(F.concat(F.lit("d:"), "host").alias("at"), (1.0 - F.col("good")).alias("passes"))
+    starts = stage(counted.join(passes, "at", "left").select(
+        "at", "rows", "all", F.coalesce("passes", F.lit(1.0)).alias("passes")), "starts")
     hot = hot_keys(starts, "at", "rows")
     steps = stage(
-        spread_join(steps, starts.select("at", "all"), "at", hot, F.col("to"))
-        .select("at", "to", (F.col("n") / F.col("all")).alias("share")), "steps")
+        spread_join(steps, starts.drop("rows"), "at", hot, F.col("to"))
+        .select("at", "to", (F.col("passes") * F.col("n") / F.col("all")).alias("share")), "steps")
     source = stage(
         seeds.select(F.concat(F.lit("t:"), "host").alias("at"), F.col("good").alias("seed"))
         .unionByName(seeds.select(F.concat(F.lit("d:"), "host").alias("at"), F.col("bad").alias("seed")))
         .where("seed > 0"), "seeds")
     ranks = source.withColumnRenamed("seed", "rank")
-    for _ in range(rounds if not steps.isEmpty() else 0):
+    while not steps.isEmpty():
         moved = spread_join(steps, ranks, "at", hot, F.col("to")).select(
             F.col("to").alias("at"), (F.col("share") * F.col("rank") * damping).alias("rank"))
         new = moved.unionByName(source.select("at", F.col("seed").alias("rank")))
@@ -117,12 +123,15 @@ def judge_urls(
             F.avg(F.when(F.col("ruled") == "block", 1.0).otherwise(0.0)).alias("bad")), "hosts")
     edges = stage(host_edges(base), "host-edges")
     ranks = propagate(edges, hosts)
+    trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
+    linked = distrust - F.col("bad")
+    spoilt = (F.col("bad") - F.col("good") >= threshold) | (
+        (linked > 0) & (linked >= threshold * (trust + linked)))
     verdicts = stage(hosts.join(ranks, "host", "left").select(
-        "host", F.coalesce("trust", F.lit(0.0)).alias("trust"),
-        F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "verdicts")
+        "host", trust.alias("trust"), distrust.alias("distrust"), spoilt.alias("spoilt")), "verdicts")
     spread = spread_join(
         judged, verdicts, "host", hot_keys(hosts, "host"), F.struct("page_id", "path"), "left")
-    bad = F.coalesce(F.col("distrust") - F.col("trust") >= threshold, F.lit(False))
+    bad = F.coalesce("spoilt", F.lit(False))
     return spread.select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(bad, "block").otherwise("allow")).alias("verdict"),

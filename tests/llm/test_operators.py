@@ -179,18 +179,29 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(pages.limit(0), RULES).count() == 0
 
 
+def test_a_farm_of_hosts_that_link_to_a_blocked_one_is_blocked(spark):
+    rows = [(k, f"http://farm{k}.org/", '<a href="http://bad.net/x">') for k in range(1_000)]
+    rows += [(2_000, "http://bad.net/es/1", None), (2_001, "http://www.a.com/", '<a href="http://bad.net/x">'),
+             (2_002, "http://apart.org/", '<a href="http://www.a.com/">')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, RULES).collect()}
+    assert {got[k] for k in (*range(1_000), 2_000)} == {"block"}
+    assert (got[2_001], got[2_002]) == ("allow", "allow")
+
+
 def test_page_rank_against_matrix(spark):
     edges = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 3), ("d", "a", 1)]
     seeds = [("a", 0.5, 0.0), ("d", 0.0, 1.0), ("c", 0.0, 0.25)]
     got = url_filter.propagate(
         spark.createDataFrame(edges, "src string, dst string, n long"),
-        spark.createDataFrame(seeds, "host string, good double, bad double"), rounds=200).collect()
+        spark.createDataFrame(seeds, "host string, good double, bad double")).collect()
     names = "abcd"
     weight = np.zeros((4, 4))
     for s, d, n in edges:
         weight[names.index(s), names.index(d)] = n
     out = np.nan_to_num(weight / weight.sum(axis=1, keepdims=True))
     back = np.nan_to_num(weight / weight.sum(axis=0, keepdims=True)).T
+    back *= 1 - np.array([0.5, 0, 0, 0])[:, None]  # a trusted host passes on less distrust
     trust = np.linalg.solve(np.eye(4) - 0.85 * out.T, [0.5, 0, 0, 0])
     distrust = np.linalg.solve(np.eye(4) - 0.85 * back.T, [0, 0, 0.25, 1])
     for r in got:
@@ -223,6 +234,37 @@ def test_quality_rules(spark):
     assert quality_rules.apply_rules(odd_documents(spark, True)).count() == 0
 
 
+def test_quality_rules_reject_other_words(spark):
+    draw = random.Random(5)
+    common = {g: [f"{g}{k}" for k in range(40)] for g in ("en", "de")}
+
+    def text(language, share=0.3):
+        return " ".join(
+            draw.choice(common[language]) if draw.random() < share
+            else "".join(draw.choices("abcdefghij", k=7)) for _ in range(300))
+
+    rows = [(k, g, text(g)) for g in ("en", "de") for k in range(100)]
+    rows += [(1_000 + k, "en", text("de")) for k in range(10)] + [(2_000 + k, "en", text("en", 0.0)) for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    kept = Counter((r["doc_id"] // 1_000, r["_judged"]["kept"]) for r in quality_rules.apply_rules(docs).collect())
+    assert kept == {(0, True): 200, (1, False): 10, (2, False): 10}
+
+
+def test_packing_takes_special_tokens_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "x<|startoftext|>Y <|ENDOFTEXT|>", "<|EndOfText|><|endoftext|>.", "It's <|end"]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    got = packing.token_bytes([t.encode() for t in texts], packing.WordIds(TOKENIZER))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_takes_the_shortest_pack():
+    # 6 and 5 open packs of their own; 2 goes to the pack with more room, as does 1.
+    assert sorted(pack_histogram({6: 1, 5: 1, 2: 1, 1: 1}, 10)) == [([(5, 1), (2, 1)], 1), ([(6, 1), (1, 1)], 1)]
+
+
 def removed_bytes(rows, length=50):
     first = {}
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm import line_dedup, minhash, mixing, packing, quality_knn
-from stratamart.llm.common import WORD, stage, table
+from stratamart.llm.common import stage, table
 from stratamart.llm.labelled import fold
 from stratamart.llm.queries import TOKENIZER
 
@@ -39,30 +39,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; rows without an id all stay."""
-    dropped = minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    rest = docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti")
-    one = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return rest.withColumn("_one", one).dropDuplicates(["doc_id", "_one"]).select(*docs.columns)
+    """One row of each group of near duplicates; rows without words all stay."""
+    return minhash.one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them.
-
-    A source's at most two documents that are taken in part come with that many words,
-    joined by blanks.
-    """
-    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    taken = mixing.mix(numbered, row="_row").select(
-        F.col("row").alias("_row"), F.col("copies").alias("_copies"),
-        (F.col("taken") - F.col("copies") * F.col("size")).alias("_part"),
-    ).where("_copies > 0 OR _part > 0")
-    joined = numbered.join(taken.hint("shuffle_hash"), "_row")
-    times = F.col("_copies") + F.when(F.col("_part") > 0, 1).otherwise(0)
-    every = joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), times)))
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_part").cast("int"))
-    text = F.when(F.col("_turn") <= F.col("_copies"), F.col("text")).otherwise(F.array_join(words, " "))
-    return _with_length(every.withColumn("text", text).select(*docs.columns))
+    """The documents as often as the mix takes them, each whole."""
+    return mixing.mixture(docs)
 
 
 def packs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

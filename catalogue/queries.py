@@ -208,7 +208,10 @@ def quality_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per order month, as if each month's sales had been loaded and checked."""
+    """One run per order month, as if each month's sales had been loaded and checked.
+
+    Undated sales are a run without a date, before all others.
+    """
     m = Model(spark, sf_dir)
     scored = scoring.fact_score_by_month(m.sales, m.fact)
     log = quality_log.log_row(

@@ -196,12 +196,11 @@ def fact_score(
 
 
 def fact_score_by_month(sales: DataFrame, fact: DataFrame) -> DataFrame:
-    """The fact score of every order month, as ``month`` and scored columns."""
+    """The fact score of every order month, as ``month`` and scored columns.
+
+    Sales without an order date are a row of their own, with a NULL month.
+    """
     month = F.trunc("order_date", "month").alias("month")
-    dated = F.col("order_date").isNotNull()
-    measured = one_row(
-        sales_measures(sales.where(dated), month), fact_measures(fact.where(dated), month),
-        by=("month",),
-    )
+    measured = one_row(sales_measures(sales, month), fact_measures(fact, month), by=("month",))
     counts = [c for c in measured.columns if c != "month" and not c.endswith("_revenue")]
     return fact_score_columns(measured.fillna(0, subset=counts))

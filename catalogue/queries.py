@@ -135,13 +135,21 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- checks -------------------------------------------------------------------
 
 def dq_gold_referential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphans arise because part of each dimension is missing."""
+    """The fact against the whole dimensions it was built from."""
     m = Model(spark, sf_dir)
-    return checks.referential_check(
-        m.fact,
-        m.dim_products.where("product_line <> 'Touring'"),
-        m.dim_customers.where(F.col("country") != V.UNKNOWN),
-    )
+    return checks.referential_check(m.fact, m.dim_products, m.dim_customers)
+
+
+def dq_gold_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of 50 or more units get product keys, those shipped in May customer keys, that no
+    dimension has."""
+    m = Model(spark, sf_dir)
+    fact = m.fact.withColumns({
+        "product_key": F.expr("CASE WHEN quantity >= 50 THEN -product_key ELSE product_key END"),
+        "customer_key": F.expr(
+            "CASE WHEN month(ship_date) = 5 THEN -customer_key ELSE customer_key END"),
+    })
+    return checks.referential_check(fact, m.dim_products, m.dim_customers)
 
 
 def dq_dim_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +241,7 @@ def _write_csv(df: DataFrame, path: str) -> None:
 
 
 def _as_text(df: DataFrame, name: str) -> DataFrame:
-    cells = [F.coalesce(F.col(f.name).cast("string"), F.lit("<null>"))
+    cells = [F.coalesce(F.col(f.name).cast(f.dataType).cast("string"), F.lit("<null>"))
              for f in BRONZE_SCHEMAS[name].fields]
     return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *cells).alias("row_text"))
 
@@ -248,7 +256,7 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = []
     for name in RAW_VIEWS:
         target = f"{prefix}bronze.{name}"
-        tables.save_table(csv_files.read_source(spark, root, name), target)
+        tables.save_table(csv_files.read_source(spark, root, name, checked=True), target)
         out.append(_as_text(
             tables.read_table(spark, target).where(F.col("_source_table") == name), name
         ))
@@ -273,7 +281,29 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1").alias("sls_cust_id"))
     root, name = new_path(spark, "csv"), "crm_sales_details"
     _write_csv(lines, f"{root}/{V.SOURCE_FILES[name]}")
-    return csv_files.rejects(csv_files.read_source(spark, root, name, checked=True), name)
+    narrow = BRONZE_SCHEMAS[name]
+    return csv_files.rejects(
+        csv_files.read_source(spark, root, name, checked=True, schema=narrow), name)
+
+
+def bronze_reject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales from a folder for each return flag, money with fractions; rejects traced to their file."""
+    turn = F.pmod(F.col("l_orderkey"), F.lit(7))
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("SO"), "l_orderkey").alias("sls_ord_num"),
+        F.col("l_partkey").cast("string").alias("sls_prd_key"), F.lit("1").alias("sls_cust_id"),
+        *(F.lit("20240101").alias(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")),
+        F.when(turn == 1, F.lit("12.34567")).otherwise(F.lit("12.50")).alias("sls_sales"),
+        F.when(turn == 2, F.lit("1.5")).otherwise(F.lit("3000000000")).alias("sls_quantity"),
+        F.when(turn == 3, F.lit("n/a")).otherwise(F.lit("0.25")).alias("sls_price"),
+        F.col("l_returnflag").alias("flag"))
+    root, name = new_path(spark, "csv"), "crm_sales_details"
+    lines.write.option("header", "true").partitionBy("flag").csv(f"{root}/{V.SOURCE_FILES[name]}")
+    found = csv_files.rejects_by_file(csv_files.read_source(spark, root, name, checked=True), name)
+    folder = F.regexp_extract("source_file", "/flag=([^/]*)/[^/]*$", 1)
+    # A folder holds as many files as tasks wrote to it, so files are summed up.
+    return found.groupBy("table_name", folder.alias("folder"), "column_name").agg(
+        F.sum("rejected").alias("rejected"))
 
 
 def counted_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_gold_negative_sales": _with(lambda m: checks.negative_sales_check(m.fact)),
     "dq_gold_business_rules": _with(lambda m: checks.business_rules_check(m.fact)),
     "dq_gold_referential": dq_gold_referential,
+    "dq_gold_orphans": dq_gold_orphans,
     "dq_gold_metric_consistency": _with(lambda m: checks.metric_consistency_check(
         m.fact_table, m.dim_products)),
     "dq_dim_completeness": dq_dim_completeness,
@@ -433,6 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_trend": quality_trend,
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
     "bronze_rejects": bronze_rejects,
+    "bronze_reject_files": bronze_reject_files,
     "catalog_check": catalog_check,
     "counted_writes": counted_writes,
     "mart_revenue_by_country": _with(lambda m: marts.revenue_by_country(

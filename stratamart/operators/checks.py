@@ -126,6 +126,26 @@ def null_check_erp(tables: Tables) -> DataFrame:
     return stack_rows(rows)
 
 
+def reject_check(tables: Tables) -> DataFrame:
+    """Rows and values that did not fit their columns, per table; a warning where there are any.
+
+    A table without rows has none.
+    """
+    n = F.col("rejected_values")
+    return stack_rows([
+        df.agg(
+            F.count("*").alias("total_records"),
+            F.count("_rejected").alias("rejected_records"),
+            F.coalesce(F.sum(F.size(F.map_keys("_rejected"))), F.lit(0)).cast("long").alias("rejected_values"),
+        ).select(
+            F.lit("Rejected Values").alias("check_name"), F.lit(name).alias("table_name"),
+            "total_records", "rejected_records", "rejected_values",
+            tiers((n > 0, V.WARNING), otherwise=V.PASS).alias("status"),
+        )
+        for name, df in tables.items()
+    ])
+
+
 def limit_check(tables: Tables) -> DataFrame:
     """The configured limits: fewest rows, share of duplicate rows, share of NULL keys."""
     rows = []

@@ -60,12 +60,14 @@ class Pipeline:
         create_schemas(self.spark, prefix=self.prefix, location=self.location)
 
     def build_bronze(self) -> None:
+        """Columns by header; what does not fit stays in ``_rejected``, files in ``_source_file``."""
         for table in V.SOURCE_FILES:
-            self._save(read_source(self.spark, self.source_root, table), "bronze", table)
+            self._save(
+                read_source(self.spark, self.source_root, table, checked=True), "bronze", table)
 
     def build_silver(self) -> None:
         for source, build in SILVER_BUILDERS.items():
-            bronze = self.table("bronze", source)
+            bronze = self.table("bronze", source).drop("_rejected")
             made = (
                 silver_demographics(bronze, self.as_of)
                 if build is silver_demographics else build(bronze)
@@ -127,7 +129,8 @@ class Pipeline:
         erp = {t: self.table("bronze", t) for t in V.NULL_RULES_ERP}
         self._verdicts(
             "BRONZE", checks.ingestion_check({**crm, **erp}), checks.duplicate_check({**crm, **erp}),
-            checks.null_check_crm(crm), checks.null_check_erp(erp), checks.limit_check({**crm, **erp}))
+            checks.null_check_crm(crm), checks.null_check_erp(erp), checks.limit_check({**crm, **erp}),
+            checks.reject_check({**crm, **erp}))
         self._record(scoring.bronze_crm_score(*crm.values()), V.TASK_BRONZE_CRM, "BRONZE")
         self._record(scoring.bronze_erp_score(*erp.values()), V.TASK_BRONZE_ERP, "BRONZE")
 

@@ -34,6 +34,14 @@ BRONZE_SCHEMAS: dict[str, T.StructType] = {
     ]),
 }
 
+# What a run reads from the extracts: money with its fraction, counts of any size.
+_MONEY = T.DecimalType(18, 4)
+_WIDE = {"prd_cost": _MONEY, "sls_sales": _MONEY, "sls_price": _MONEY, "sls_quantity": _LONG}
+EXTRACT_SCHEMAS: dict[str, T.StructType] = {
+    table: _struct([(f.name, _WIDE.get(f.name, f.dataType)) for f in schema.fields])
+    for table, schema in BRONZE_SCHEMAS.items()
+}
+
 # One row per check run. Explicit, so all-NULL columns and empty issue lists save.
 LOG_SCHEMA: T.StructType = _struct([
     ("run_timestamp", T.TimestampType()),

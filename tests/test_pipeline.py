@@ -1,10 +1,12 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from stratamart import fixed_values as V
+from stratamart.operators import checks
 from stratamart.operators.quality_log import QualityGateError
 from stratamart.plans.pipeline import Pipeline
 from stratamart.schemas import BRONZE_SCHEMAS
@@ -61,13 +63,67 @@ def test_checked_reading_goes_by_header_and_keeps_what_does_not_fit(spark, tmp_p
         "sls_sales,sls_quantity\n"
         "25.50,SO1,x,P1,11,20200105,20200106,20200107,3000000000,abc\n"
         " 15 ,SO2,x,P1,11,20200105,20200106,20200107,30,2.0\n")
-    df = csv_files.read_source(spark, str(tmp_path), "crm_sales_details", checked=True)
-    bad, good = df.orderBy("sls_ord_num").collect()
+    narrow = csv_files.read_source(
+        spark, str(tmp_path), "crm_sales_details", checked=True,
+        schema=BRONZE_SCHEMAS["crm_sales_details"])
+    bad, good = narrow.orderBy("sls_ord_num").collect()
     assert bad._rejected == {"sls_price": "25.50", "sls_sales": "3000000000", "sls_quantity": "abc"}
     assert bad.sls_price is None and bad.sls_cust_id == 11
     assert good._rejected is None and (good.sls_price, good.sls_quantity) == (15, 2)
-    assert rows(csv_files.rejects(df, "sales"), "column_name", "rejected") == [
+    assert rows(csv_files.rejects(narrow, "sales"), "column_name", "rejected") == [
         ("sls_price", 1), ("sls_quantity", 1), ("sls_sales", 1)]
+    wide = csv_files.read_source(spark, str(tmp_path), "crm_sales_details", checked=True)
+    bad, good = wide.orderBy("sls_ord_num").collect()
+    assert bad._rejected == {"sls_quantity": "abc"}  # money keeps its fraction and its size
+    assert (bad.sls_price, bad.sls_sales) == (Decimal("25.50"), 3_000_000_000)
+    assert good._rejected is None and (good.sls_price, good.sls_quantity) == (15, 2)
+
+
+def test_rejects_are_traced_to_their_file(spark, tmp_path):
+    folder = tmp_path / V.SOURCE_FILES["crm_sales_details"]
+    folder.mkdir(parents=True)
+    head = SALES.split("\r\n")[0]
+    (folder / "a.csv").write_text(f"{head}\nSO1,P1,11,20200105,20200106,20200107,1.23456,2,15\n")
+    (folder / "b.csv").write_text(f"{head}\nSO2,P1,11,20200105,20200106,x,1.2345,2,y\nSO3,,,,,,,,\n")
+    df = csv_files.read_source(spark, str(tmp_path), "crm_sales_details", checked=True)
+    found = rows(csv_files.rejects_by_file(df, "s"), F.regexp_extract("source_file", "[^/]*$", 0),
+                 "column_name", "rejected")
+    assert found == [("a.csv", "sls_sales", 1), ("b.csv", "sls_due_dt", 1), ("b.csv", "sls_price", 1)]
+    assert df.where("_source_modified IS NULL OR _source_block <> 0").count() == 0
+    got = checks.reject_check({"crm_sales_details": df}).first()
+    assert (got.total_records, got.rejected_records, got.rejected_values, got.status) == (3, 2, 3, V.WARNING)
+    none = checks.reject_check({"crm_sales_details": df.limit(0)}).first()
+    assert (none.total_records, none.rejected_values, none.status) == (0, 0, V.PASS)
+
+
+def test_a_file_with_another_column_order_is_not_read_by_position(spark, tmp_path):
+    folder = tmp_path / V.SOURCE_FILES["erp_loc_a101"]
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("CID,CNTRY\nAW1,US\n")
+    (folder / "b.csv").write_text("CNTRY,CID\nDE,AW2\n")
+    with pytest.raises(Exception, match="CSV header"):
+        csv_files.read_source(spark, str(tmp_path), "erp_loc_a101", checked=True).collect()
+
+
+def test_the_run_reads_by_header_and_keeps_fractions(spark, source, tmp_path):
+    path = tmp_path / V.SOURCE_FILES["crm_sales_details"]
+    path.write_text(
+        "sls_price,sls_sales,sls_quantity,sls_ord_num,sls_prd_key,sls_cust_id,sls_order_dt,"
+        "sls_ship_dt,sls_due_dt\n"
+        "25.50,7650000000051,300000000002,SO1,P1,11,20200105,20200106,20200107\n"
+        ",31.00,2,SO2,P1,11,20200105,20200106,20200107\n"
+        "n/a,5,1,SO3,P1,11,20200105,20200106,20200107\n")
+    run = Pipeline(spark, source, prefix="wide_", location=str(tmp_path / "wide"), blocking=frozenset())
+    run.run()
+    assert rows(run.table("gold", "fact_sales"), "order_number", "sales_amount", "quantity", "price") == [
+        ("SO1", Decimal(7650000000051), 300000000002, 25.5), ("SO2", Decimal(31), 2, 15.5),
+        ("SO3", Decimal(5), 1, 5.0)]
+    silver = run.table("silver", "crm_sales")
+    assert silver.where("_source_file LIKE '%sales_details.csv'").count() == 3
+    assert "_rejected" not in silver.columns
+    found = spark.table(run.checks_table).where(
+        "check_name = 'Rejected Values' AND table_name = 'crm_sales_details'").first()
+    assert found.status == V.WARNING and '"rejected_values":1' in found.measures
 
 
 def test_checked_reading_refuses_a_missing_column(spark, tmp_path):

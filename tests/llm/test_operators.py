@@ -319,6 +319,39 @@ def test_nearest(spark):
     assert len(nearest.nearest(table.where("vec_id < 5")).collect()) == 4
 
 
+def recall(got, ids, vectors, k=20):
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = total = 0
+    for q in ids[ids % 20 == 0]:
+        score = vectors @ vectors[ids == q][0]
+        order = [ids[i] for i in np.lexsort((ids, -score)) if ids[i] != q][:k]
+        hits, total = hits + len(found[q] & set(order)), total + k
+    return hits / total
+
+
+@pytest.mark.parametrize("lengths", ["equal", "varied", "outlying"])
+def test_nearest_meets_its_recall_with_fewer_probes_than_lists(spark, monkeypatch, lengths):
+    monkeypatch.setattr(nearest, "LEAST_PROBES", 2)
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(4_000, 48))  # no clusters: the hardest case
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if lengths == "varied":
+        x *= draw.lognormal(0, 1, size=(4_000, 1))
+    if lengths == "outlying":
+        x[7] *= 3_000
+        x[60] *= 1e20
+        x[1_001] *= 1e160
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nearest.nearest(table).collect()
+    assert len(got) == 200 * 20
+    assert recall(got, np.arange(4_000), x) >= 0.9
+    top = {(r["query_id"], r["vec_id"]) for r in got if r["rank"] <= 3}
+    if lengths == "outlying":  # the longest is near to every query on its side
+        assert {(q, 1_001) for q in range(0, 4_000, 20) if x[q] @ x[1_001] > 0} <= top
+
+
 def shingles(text):
     found = (text or "").encode().lower().split()
     if len(found) < 5:

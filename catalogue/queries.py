@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import feeds
-from catalogue.raw_views import RAW_VIEWS, raw_table, sales_lines
+from catalogue.raw_views import RAW_VIEWS, raw_table, sales_lines, typed
 from stratamart import fixed_values as V
-from stratamart.operators import checks, gold, quality_log, scoring
+from stratamart.operators import checks, distinct_counts, gold, quality_log, scoring
 from stratamart.operators.keys import latest_per_key, number_rows
 from stratamart.operators.silver import SILVER_BUILDERS, silver_demographics, silver_sales
 from stratamart.operators.registry import KeyRegistry
@@ -306,6 +306,26 @@ def bronze_reject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("rejected").alias("rejected"))
 
 
+def distinct_over_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct sales keys over loads by return flag from the loads' sketches, beside exact ones.
+
+    The last load is recorded again and counts once.
+    """
+    m, path, name = Model(spark, sf_dir), new_path(spark, "sketches"), "crm_sales_details"
+    lines = stage(typed(
+        sales_lines(m.read("lineitem"), m.read("orders"), "l_returnflag AS flag"), name, "flag"), "loads")
+    keys = [["sls_ord_num"], ["sls_ord_num", "sls_prd_key"], ["sls_cust_id"]]
+    for load, flag in ((0, "A"), (1, "N"), (2, "R"), (2, "R")):
+        loaded = {name: lines.where(F.col("flag") == flag)}
+        distinct_counts.record_load(
+            distinct_counts.load_sketches(loaded, {name: keys}, load), path)
+    exact = lines.agg(*[F.count_distinct(*key).alias(",".join(key)) for key in keys])
+    exact = exact.unpivot([], exact.columns, "key_columns", "unique_keys")
+    return distinct_counts.distinct_counts(spark.read.parquet(path)).join(exact, "key_columns").select(
+        "table_name", "key_columns", "loads", "row_count", "unique_keys",
+        (F.abs(F.col("distinct_keys") - F.col("unique_keys")) <= F.col("error_bound")).alias("within_bound"))
+
+
 def counted_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze and silver saved with their rows counted in the writes; reconciled from the counts."""
     m = Model(spark, sf_dir)
@@ -465,6 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
     "bronze_rejects": bronze_rejects,
     "bronze_reject_files": bronze_reject_files,
+    "distinct_over_loads": distinct_over_loads,
     "catalog_check": catalog_check,
     "counted_writes": counted_writes,
     "mart_revenue_by_country": _with(lambda m: marts.revenue_by_country(

@@ -20,35 +20,38 @@ Tables = Mapping[str, DataFrame]
 
 # --- bronze -------------------------------------------------------------------
 
+def ingestion_verdict(counted: DataFrame, name: str) -> DataFrame:
+    """The verdict on one row of record_count and unique_keys of a table."""
+    rule, n = V.INGESTION_RULES[name], F.col("record_count")
+    low = n < rule["expected_rows"]
+    return counted.select(
+        F.lit(V.CHECK_INGESTION).alias("check_name"),
+        F.lit(name).alias("table_name"),
+        "record_count",
+        "unique_keys",
+        tiers((n == 0, V.CRITICAL), (low, V.WARNING), otherwise=V.PASS).alias("status"),
+        tiers(
+            (n == 0, F.lit(rule["empty"])),
+            (low, fill(rule["low"], n=n)),
+            otherwise=fill(rule["good"], n=n),
+        ).alias("message"),
+    )
+
+
 def ingestion_check(tables: Tables, approximate: bool = False) -> DataFrame:
     """Row count and distinct keys per table against the expected minimum.
 
     ``approximate`` trades exact distinct keys for a sketch without a shuffle of keys.
     """
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    n = F.col("record_count")
-    rows = []
-    for name, df in tables.items():
-        rule = V.INGESTION_RULES[name]
-        low = n < rule["expected_rows"]
-        rows.append(
+    return stack_rows([
+        ingestion_verdict(
             df.agg(
                 F.count("*").alias("record_count"),
-                distinct(F.col(rule["key"])).alias("unique_keys"),
-            ).select(
-                F.lit(V.CHECK_INGESTION).alias("check_name"),
-                F.lit(name).alias("table_name"),
-                "record_count",
-                "unique_keys",
-                tiers((n == 0, V.CRITICAL), (low, V.WARNING), otherwise=V.PASS).alias("status"),
-                tiers(
-                    (n == 0, F.lit(rule["empty"])),
-                    (low, fill(rule["low"], n=n)),
-                    otherwise=fill(rule["good"], n=n),
-                ).alias("message"),
-            )
-        )
-    return stack_rows(rows)
+                distinct(F.col(V.INGESTION_RULES[name]["key"])).alias("unique_keys"),
+            ), name)
+        for name, df in tables.items()
+    ])
 
 
 def duplicate_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,27 +12,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import HOT_SHARE, spread_join, stage
+from stratamart.llm.common import HOT_SHARE, partitions, spread_join, stage
 
+# Rows that one task of a round takes at least; rounds never have more rows than the first.
+TASK_ROWS = 100_000
 
-def _to_least(pairs: DataFrame) -> DataFrame:
+
+def _few(df: DataFrame, parts: int) -> DataFrame:
+    """The frame in at most ``parts`` tasks; many more partitions than rows need cost only time."""
+    return df.coalesce(parts) if parts < partitions(df.sparkSession) else df
+
+
+def _to_least(pairs: DataFrame, parts: int) -> DataFrame:
     """Rows (u, v, m): m is the smallest of u and its v's."""
-    least = stage(
+    least = stage(_few(
         pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        .withColumn("m", F.least("u", "m")), "least")
+        .withColumn("m", F.least("u", "m")), parts), "least")
     total, most = least.agg(F.sum("n"), F.max("n")).first()
     bound = max(2, (total or 0) * HOT_SHARE)
     hot = [r[0] for r in least.where(F.col("n") >= bound).select("u").collect()] if (most or 0) >= bound else []
     return spread_join(pairs, least.drop("n"), "u", hot, F.col("v"))
 
 
-def _settled(edges: DataFrame) -> bool:
+def _settled(edges: DataFrame, parts: int) -> bool:
     """Whether the edges are stars: every node below another has that one edge only."""
     ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
         edges.select(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up")))
     unsettled = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where(
         "down > 1 OR (down = 1 AND up = 1)")
-    return unsettled.count() == 0
+    return _few(unsettled, parts).count() == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,13 +48,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .where("u <> v").distinct(), "edges")
-    while not _settled(edges):
+    parts = max(1, -(-2 * edges.count() // TASK_ROWS))
+    while not _settled(edges, parts):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), "large-star")
-        small = _to_least(large)
+        large = _to_least(both, parts).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stage(_few(large.where("u <> v").distinct(), parts), "large-star")
+        small = _to_least(large, parts)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v")))
-        edges = stage(small.where("u <> v").distinct(), "small-star")
+        edges = stage(_few(small.where("u <> v").distinct(), parts), "small-star")
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)

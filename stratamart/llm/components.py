@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.common import HOT_SHARE, partitions, spread_join, stage
 
-# Rows that one task of a round takes at least; rounds never have more rows than the first.
+# Rows for one task of a round, where there are more than keep every core busy; rounds never
+# have more rows than the first.
 TASK_ROWS = 100_000
 
 
@@ -48,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .where("u <> v").distinct(), "edges")
-    parts = max(1, -(-2 * edges.count() // TASK_ROWS))
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+    parts = max(4 * cores, -(-2 * edges.count() // TASK_ROWS))
     while not _settled(edges, parts):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _to_least(both, parts).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from stratamart import fixed_values as V
-from stratamart.operators import quality_log, scoring
+from stratamart.operators import gold, quality_log, scoring
 from stratamart.schemas import LOG_SCHEMA
 
 
@@ -108,6 +108,31 @@ def test_orphans_are_logged(spark):
     assert (row.orphaned_products, row.orphaned_customers) == (1, 0)
 
 
+def test_orphans_and_null_keys_are_measured_together(spark):
+    """A dimension that holds a key twice adds nothing."""
+    fact = sold(spark, 1, 2, product=None).unionByName(sold(spark, 3, 4, 5, product=7, customer=8))
+    known = spark.createDataFrame([(7,), (7,), (None,)], "product_key long")
+    people = spark.createDataFrame([(1,), (1,)], "customer_key long")
+    row = scoring.fact_score(fact, fact, known, people).first()
+    assert (row.null_product_keys, row.null_customer_keys, row.null_keys) == (2, 0, 2)
+    assert (row.orphaned_products, row.orphaned_customers) == (0, 1)
+    assert row.gold_count == 5 and row.revenue_gold == 15
+    empty = scoring.fact_score(sold(spark), sold(spark), known, people).first()
+    assert (empty.null_product_keys, empty.orphaned_customers) == (0, 0)
+
+
+def test_a_planned_fact_is_looked_up_once_per_key(spark):
+    """Only counts of each key need a lookup, so no other column goes through one."""
+    products = spark.createDataFrame([("p", 1)], "product_number string, product_key long")
+    customers = spark.createDataFrame([(1, 1)], "customer_id long, customer_key long")
+    sales = sold(spark, 1, 2).selectExpr("*", "order_number AS product_number", "product_key AS customer_id")
+    fact = gold.fact_sales(sales.drop("product_key", "customer_key"), products, customers)
+    log = quality_log.log_row(scoring.fact_score(sales, fact, products, customers), "t", "GOLD")
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 3  # two lookups, one against the known keys
+    assert log.first().total_records == 2
+
+
 def test_log_row_has_the_log_schema_and_defaults(spark):
     score = scoring.silver_score(spark.range(1), spark.range(1), "crm_prd_info")
     out = quality_log.log_row(score, "task", "SILVER", pipeline="p")

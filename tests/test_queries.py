@@ -5,12 +5,14 @@ from conftest import TEST_DATA, planned
 
 import __spark_entry__ as entry_points
 from catalogue.oracle import ORACLE_SQL
+from catalogue import queries
 from catalogue.queries import QUERIES, Model
 from check_oracle import compare, oracle_connection
 from stratamart.operators import joins
 from stratamart.operators.keys import number_rows
 from stratamart.operators.silver import silver_sales
 from stratamart.plans import marts
+from stratamart.staging import stage
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +107,18 @@ def test_the_model_is_the_same_with_every_lookup_salted(spark, duck, name, every
     if name == "gold_fact_sales":  # dimensions are staged with their numbers; see test_joins
         assert "_salt" in planned(entry_points.queries()[name](spark, TEST_DATA))
     assert compare(spark, duck, name, TEST_DATA) == ""
+
+
+def test_what_is_read_twice_is_written_once_with_the_columns_read(spark, monkeypatch):
+    written = []
+
+    def noted(df, label):
+        written.append((label, df.columns))
+        return stage(df, label)
+
+    monkeypatch.setattr(queries, "stage", noted)
+    QUERIES["dq_gold_metric_consistency"](spark, TEST_DATA)
+    assert written == [("fact", ["product_key", "sales_amount"])]
+    written.clear()
+    QUERIES["quality_gate"](spark, TEST_DATA)
+    assert [label for label, _ in written] == ["sales"]

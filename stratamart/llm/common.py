@@ -19,8 +19,8 @@ SALTS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 __all__ = [
-    "HOT_SHARE", "SALTS", "WORD", "emit", "hot_keys", "partitions", "spread_join", "stage", "table",
-    "worker_memory",
+    "HOT_SHARE", "SALTS", "WORD", "emit", "forget_worker_memory", "hot_keys", "partitions", "spread_join",
+    "stage", "table", "worker_memory",
 ]
 
 
@@ -35,13 +35,22 @@ def partitions(spark: SparkSession) -> int:
 def worker_memory(key: Hashable, make: Callable[[], object]) -> object:
     """What a Python worker keeps from task to task under ``key``; made when it is not there.
 
-    Functions reach the workers by value, with globals of their own for every task, so
-    it is held in a module of the worker. A new worker makes it again.
+    It keeps one key's memory at a time. Functions reach the workers by value, with globals
+    of their own for every task, so it is held in a module of the worker. A new worker makes
+    it again.
     """
     module = sys.modules.setdefault("_stratamart_memory", types.ModuleType("_stratamart_memory"))
-    if key not in module.__dict__:
-        module.__dict__[key] = make()
-    return module.__dict__[key]
+    if getattr(module, "key", None) != key:
+        forget_worker_memory()
+        module.held, module.key = make(), key
+    return module.held
+
+
+def forget_worker_memory() -> None:
+    """Drop what this Python worker keeps for an operator that ran before."""
+    module = sys.modules.get("_stratamart_memory")
+    if module is not None:
+        module.held = module.key = None
 
 
 def hot_keys(counts: DataFrame, key: str, n: str = "n", share: float = HOT_SHARE) -> list:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import emit, hot_keys, spread_join, stage
+from stratamart.llm.common import emit, forget_worker_memory, hot_keys, spread_join, stage
 from stratamart.llm.components import components
 from stratamart.llm.shingles import WORDS, WordHashes, shared, shingle_set
 
@@ -79,6 +79,7 @@ def parity(shingles: np.ndarray) -> bytes:
 
 def _sign(bands: int, rows: int, words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_memory()
         a, b = _multipliers(bands * rows)
         cache = WordHashes()
         kinds = {"node": pa.int64(), "id": pa.int64(), "n_shingles": pa.int64(), "mark": pa.binary(), "sig": pa.binary(),

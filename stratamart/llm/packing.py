@@ -17,8 +17,6 @@ from __future__ import annotations
 import bisect
 import os
 import re
-import sys
-import types
 import zlib
 from array import array
 from collections import defaultdict
@@ -31,12 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import emit, stage
+from stratamart.llm.common import emit, stage, worker_memory
 
 CAPACITY = 4096
 END = 2
-# Words whose ids a Python worker remembers, and documents it looks up at a time.
-_CACHE = 1_500_000
+# Words whose ids a Python worker remembers, in two generations (some 100 MB), and documents
+# it looks up at a time.
+_CACHE = 700_000
 _TOGETHER = 32
 # Letters and digits that ASCII punctuation at a word's end is split off from.
 _ENDING = re.compile(r"([0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]+)")
@@ -46,20 +45,29 @@ _PIECE = (
 
 
 class WordIds(dict):
-    """Ids of a word as little-endian bytes, remembered; emptied when it has grown large."""
+    """Ids of a word as little-endian bytes, remembered.
+
+    When half of the room is full, its words become the older generation, and the older one
+    before is forgotten. Words that come again are taken over, so common ones stay.
+    """
 
     def __init__(self, tokenizer_file: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def add(self, words: set[bytes]) -> None:
         new = {w for w in words if w not in self}
-        if len(self) + 2 * len(new) > _CACHE:
+        if len(self) + 2 * len(new) > _CACHE // 2:
+            self.older = dict(self)
             self.clear()
             new = words
+        again = new & self.older.keys()
+        self.update((w, self.older[w]) for w in again)
+        new = new - again
         # Punctuation after letters is a token of its own in this vocabulary.
         # bytes.lower() changes A-Z only; the vocabulary is lower case anyway.
         # Special tokens are found in words as written.
@@ -87,10 +95,7 @@ class WordIds(dict):
 def word_ids(tokenizer_file: str) -> WordIds:
     """This Python worker's memory of word ids: it outlives the task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    held = sys.modules.setdefault("_stratamart_worker", types.ModuleType("_stratamart_worker"))
-    if getattr(held, "word_ids_of", None) != tokenizer_file:
-        held.word_ids, held.word_ids_of = WordIds(tokenizer_file), tokenizer_file
-    return held.word_ids
+    return worker_memory(("WordIds", tokenizer_file), lambda: WordIds(tokenizer_file))
 
 
 def token_bytes(texts: list[bytes | None], cache: WordIds) -> list[bytes]:

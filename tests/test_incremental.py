@@ -11,6 +11,7 @@ from stratamart.operators.partitions import PartitionedTable, bucket_of, live, m
 from stratamart.operators.registry import KeyRegistry
 from stratamart.plans.incremental import IncrementalGold
 from stratamart.schemas import BRONZE_SCHEMAS
+from stratamart.staging import DROP_SHUFFLES, scratch, stage, staged_root
 
 ROWS = "k string, d date, v int, sequence long, is_deleted boolean"
 
@@ -102,6 +103,32 @@ def test_an_attempt_that_broke_off_is_mended(spark, table, replaced, monkeypatch
     assert [r for r in now(spark, table) if r[0] in ("a", "b")] == [("a", 9, "2024-02"), ("b", 8, "2024-01")]
 
 
+def test_merge_in_slices_gives_the_same_and_leaves_nothing_staged(spark, table, tmp_path, monkeypatch):
+    sizes = []
+    whole = PartitionedTable.replace
+
+    def seen(self, rows_, touched):
+        sizes.append(list(touched))
+        plan = rows_._jdf.queryExecution().optimizedPlan().toString()
+        assert "RebalancePartitions" not in plan and plan.count("Join") == 0  # one shuffle brings all together
+        whole(self, rows_, touched)
+
+    monkeypatch.setattr(PartitionedTable, "replace", seen)
+    before = files(staged_root(spark))
+    at_once = PartitionedTable(spark, str(tmp_path / "whole"), "order_month")
+    later = [("a", "2024-02-01", 9, 2, False), ("b", "2024-02-05", 7, 0, False), (None, None, 6, 2, False),
+             ("d", "2024-03-01", 8, 2, True), ("e", "2024-03-01", 1, 1, False), ("c", None, 4, 1, False)]
+    for data in (FIRST, later):
+        wanted = merge(spark, at_once, *data)
+        own = table.merge(table_rows(spark, *data), ["k"], ["sequence"], slice_rows=1)
+        assert own == wanted
+    assert now(spark, table) == now(spark, at_once) == sorted([
+        ("a", 9, "2024-02"), ("b", 2, "2024-02"), ("c", 3, "undated"), (None, 6, "undated"),
+        ("e", 1, "2024-03")], key=repr)
+    assert sizes[1:5] == [["2024-01"], ["2024-02"], ["2024-03"], ["undated"]]
+    assert files(staged_root(spark)) == before
+
+
 def test_replace_refuses_rows_of_other_partitions(spark, table):
     merge(spark, table, *FIRST)
     before = files(table.path)
@@ -110,6 +137,20 @@ def test_replace_refuses_rows_of_other_partitions(spark, table):
     assert files(table.path) == before
 
 
+def test_scratch_deletes_what_is_staged_inside_only(spark):
+    before, options = files(staged_root(spark)), spark.conf.get(DROP_SHUFFLES, None)
+    lasting = stage(spark.range(3), "lasting")
+    with pytest.raises(OSError):
+        with scratch(spark):
+            assert stage(spark.range(5), "inside").count() == 5
+            with scratch(spark):
+                stage(spark.range(7), "innermost")
+            assert spark.conf.get(DROP_SHUFFLES) == "true"
+            raise OSError("lost")
+    assert lasting.count() == 3 and spark.conf.get(DROP_SHUFFLES, None) == options
+    assert {f[0].rpartition("-")[0] for f in files(staged_root(spark)) - before} == {"lasting"}
+
+
 # --- keys that stay -----------------------------------------------------------
 
 def named(spark, *names):
@@ -259,6 +300,20 @@ def test_months_without_changes_keep_their_files(spark, model, tmp_path):
     assert {f for f in before if "2024-02" not in f[0]} == {f for f in after if "2024-02" not in f[0]}
 
 
+def test_the_fact_is_built_a_few_months_at_a_time(spark, model, applied, monkeypatch):
+    own, built = model("one"), []
+    own.slice_rows = 1
+    whole = own._fact_rows
+    monkeypatch.setattr(own, "_fact_rows", lambda months: built.append(list(months)) or whole(months))
+    before = files(staged_root(spark))
+    months = own.apply(1, **frames(spark, BATCHES[1]))["fact"]
+    assert built == [[m] for m in months] and len(months) == 4
+    assert files(staged_root(spark)) == before
+    at_once = opened(spark, applied[0] / "two")
+    at_once._like = own._like
+    assert rows(own.fact_sales()) == rows(at_once.fact_sales())
+
+
 @pytest.mark.parametrize("after", ["sales", "dimension"])
 def test_a_batch_that_broke_off_runs_again(spark, model, after, monkeypatch):
     broken = model("two")
